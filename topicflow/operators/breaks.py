@@ -248,7 +248,7 @@ def _entries(rows, keys, order, read, limit, start, schema_with, highest) -> Dat
     by = [quote(k) for k in keys]
     step_schema, entry_schema = schema_with(STEP_FIELDS), schema_with(ENTRY_FIELDS)
     levels = [materialise(rows.groupBy(*by, BLOCK).applyInPandas(steps, step_schema))]
-    while highest >> (FAN_BITS * len(levels)):
+    while highest >> (FAN_BITS * (len(levels) - 1)):
         parent = F.shiftright(F.col(BLOCK), FAN_BITS)
         up = levels[-1].groupBy(*by, parent.alias("__parent")).applyInPandas(combine, step_schema)
         levels.append(materialise(up))

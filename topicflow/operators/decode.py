@@ -19,9 +19,10 @@ from pyspark.sql import types as T
 
 from topicflow.operators.evolve import merge_schemas
 from topicflow.operators.infer import field_types, collect_fields, schema_from_fields
-from topicflow.records import add_reason, at
+from topicflow.records import INVALID, add_reason
 
 CORRUPT = "_corrupt_payload"
+PARSED = "__parsed"
 EMPTY_KEY = "empty key"
 NOT_AN_OBJECT = "payload is not an object"
 EMPTY_OBJECT = "payload is an empty object"
@@ -86,11 +87,18 @@ def _project(c: Column, have: T.StructType, want: T.StructType) -> Column:
     return F.when(c.isNotNull(), F.struct(*fields))
 
 
+def parse_once(df: DataFrame, parsed: Column) -> tuple[DataFrame, Column]:
+    """Add the parsed record so that later filters do not parse it again.
+
+    A filter on a plain projected column is pushed below the projection, with
+    the whole parse inside it; a generator is evaluated once and stays put.
+    """
+    return df.select("*", F.explode(F.array(parsed)).alias(PARSED)), F.col(PARSED)
+
+
 def _finish(df: DataFrame, column: str, parsed: Column, schema: T.StructType, reason) -> DataFrame:
     """Put the parsed record in place, flag bad rows and drop helper fields."""
-    temporary = "__parsed"
-    df = df.withColumn(temporary, parsed)
-    record = F.col(temporary)
+    df, record = parse_once(df, parsed)
     problem = reason(record)
     for path in _empty_names(schema):
         c = record
@@ -100,7 +108,7 @@ def _finish(df: DataFrame, column: str, parsed: Column, schema: T.StructType, re
     df = add_reason(df, problem)
     want = _without_empty_names(schema)
     value = _project(record, schema, want)
-    return df.withColumn(column, F.when(F.size("_invalid") == 0, value)).drop(temporary)
+    return df.withColumn(column, F.when(F.size(INVALID) == 0, value)).drop(PARSED)
 
 
 def decode_json(
@@ -116,10 +124,7 @@ def decode_json(
     ``schema_epochs`` for payloads that change type along the topic.
     """
     if schema is None:
-        fields = collect_fields(field_types(df, column))
-        schema = schema_from_fields(
-            [f for f in fields if not _below_empty_key(f["path"])], discard_collections
-        )
+        schema = schema_from_fields(collect_fields(field_types(df, column)), discard_collections)
     schema = _text_for_empty_names(schema)
     text = F.col(column).cast("string")
     if keep_raw:
@@ -141,10 +146,6 @@ def decode_json(
     return _finish(df, column, parsed, schema, reason)
 
 
-def _below_empty_key(path: list[str]) -> bool:
-    return "" in path[:-1]
-
-
 def compact_json(text: Column) -> Column:
     """The same JSON value without white space, key order kept."""
     return F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "v string").getField("v")
@@ -315,8 +316,7 @@ def decode_xml(
         "ignoreNamespace": "true",
         "inferSchema": "false",
     }
-    df = df.withColumn("__parsed", F.from_xml(text, declared, options))
-    record = F.col("__parsed")
+    df, record = parse_once(df, F.from_xml(text, declared, options))
     problem = F.when(record.getField(CORRUPT).isNotNull(), "malformed XML")
     for path in _text_paths(schema):
         c = record
@@ -336,7 +336,7 @@ def decode_xml(
         for f in schema
         if f.name != TEXT
     ]
-    return df.withColumn(column, F.when(F.size("_invalid") == 0, F.struct(*fields))).drop("__parsed")
+    return df.withColumn(column, F.when(F.size(INVALID) == 0, F.struct(*fields))).drop(PARSED)
 
 
 def _text_paths(schema: T.StructType, path: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
@@ -357,9 +357,9 @@ def decode_avro(df: DataFrame, schema_json: str, column: str = "value") -> DataF
     from pyspark.sql.avro.functions import from_avro
 
     parsed = from_avro(F.col(column), schema_json, {"mode": "PERMISSIVE"})
-    df = df.withColumn("__parsed", parsed)
-    df = add_reason(df, F.when(F.col("__parsed").isNull(), F.lit("malformed Avro")))
-    return df.withColumn(column, at(None, ["__parsed"])).drop("__parsed")
+    df, record = parse_once(df, parsed)
+    df = add_reason(df, F.when(record.isNull(), F.lit("malformed Avro")))
+    return df.withColumn(column, record).drop(PARSED)
 
 
 def decode_protobuf(
@@ -369,6 +369,6 @@ def decode_protobuf(
     from pyspark.sql.protobuf.functions import from_protobuf
 
     parsed = from_protobuf(F.col(column), message, descriptor_file, {"mode": "PERMISSIVE"})
-    df = df.withColumn("__parsed", parsed)
-    df = add_reason(df, F.when(F.col("__parsed").isNull(), F.lit("malformed Protobuf")))
-    return df.withColumn(column, at(None, ["__parsed"])).drop("__parsed")
+    df, record = parse_once(df, parsed)
+    df = add_reason(df, F.when(record.isNull(), F.lit("malformed Protobuf")))
+    return df.withColumn(column, record).drop(PARSED)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,21 +26,27 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only where nothing is set, on one machine in tests, a private one is made
+    and set for the rest of the session.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="topicflow-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
+    """Cut the lineage: write the frame to the checkpoint folder and read it back.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``.  Only
-    where nothing is set (tests on one machine) is a private one made.
+    A written table survives the loss of executors, and unlike an eager
+    checkpoint it runs the plan once, not twice.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
-            "spark.checkpoint.dir"
-        )
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="topicflow-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_folder(df.sparkSession)}/topicflow-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
