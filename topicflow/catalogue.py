@@ -680,10 +680,13 @@ def overlong_strings(spark, sf_dir):
 # ------------------------------------------------------------------ whole ingest
 
 
+FLOW_RECORDS = 400
+
+
 def flow_options(**more) -> Options:
     return Options(
         keys="user_id", mask=Mask("user_kind", "sha1"), continue_on_invalid=True,
-        max_records=RECORDS, **more,
+        max_records=FLOW_RECORDS, **more,
     )
 
 
@@ -715,8 +718,8 @@ def transform_dead_letters(spark, sf_dir):
 
 
 @query(TOPIC_SQL + f"""
-, v AS (SELECT *, (row_number() {BY_TP} - 1) // {RECORDS} AS segment,
-          count(*) OVER (PARTITION BY topic, "partition") // {RECORDS} AS full FROM t WHERE user_id % 10 <> 0)
+, v AS (SELECT *, (row_number() {BY_TP} - 1) // {FLOW_RECORDS} AS segment,
+          count(*) OVER (PARTITION BY topic, "partition") // {FLOW_RECORDS} AS full FROM t WHERE user_id % 10 <> 0)
 """ + FLOW_SQL + ', "offset" AS "__offset", topic AS "__topic", "partition" AS "__partition", segment AS "__segment" FROM v WHERE segment < "full"')
 def ingest_batch_rows(spark, sf_dir):
     """Closed segments only, published in two runs over a growing topic."""
@@ -727,7 +730,7 @@ def ingest_batch_rows(spark, sf_dir):
 
 
 @query(TOPIC_SQL + f"""
-, v AS (SELECT *, (row_number() {BY_TP} - 1) // {RECORDS} AS segment FROM t WHERE user_id % 10 <> 0)
+, v AS (SELECT *, (row_number() {BY_TP} - 1) // {FLOW_RECORDS} AS segment FROM t WHERE user_id % 10 <> 0)
 """ + FLOW_SQL + ', "offset" AS "__offset", topic AS "__topic", "partition" AS "__partition", segment AS "__segment" FROM v')
 def ingest_stream_rows(spark, sf_dir):
     """The events file as a stream, published with open segments included."""

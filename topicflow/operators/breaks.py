@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicflow.operators.ordered import BLOCK, BLOCK_BITS, block_of
+from topicflow.operators.ordered import BLOCK, BLOCK_BITS, with_block
 from topicflow.records import broadcast_if_small, quote
 from topicflow.session import materialise
 
@@ -156,6 +156,13 @@ def _step_function(row) -> dict:
     return {**f, "t1": int(row["t1"]), "t2": int(row["t2"]), "sure": bool(row["sure"])}
 
 
+def key_spans(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """First and last block of every key: one row per key."""
+    return rows.groupBy(*[quote(k) for k in keys]).agg(
+        F.min(BLOCK).alias("__low"), F.max(BLOCK).alias("__high")
+    )
+
+
 def find_breaks(
     rows: DataFrame,
     keys: Sequence[str],
@@ -164,29 +171,29 @@ def find_breaks(
     limit: tuple[int, int],
     start: DataFrame | None = None,
     block_bits: int = BLOCK_BITS,
+    spans: DataFrame | None = None,
 ) -> DataFrame:
     """(keys, order, number): a mark at every break and at the first row of every block.
 
     ``rows`` should hold only what ``read`` needs.  ``start`` gives (keys, s1,
     s2, breaks) for keys that go on from an earlier batch; other keys start
     from nothing.  ``number`` counts breaks, so it is 0 before the first.
+    ``spans`` may give the ``key_spans`` where ``rows`` are costly to compute.
     """
     keys = list(keys)
-    rows = rows.withColumn(BLOCK, block_of(order, block_bits))
+    rows = with_block(rows, order, block_bits)
     key_fields = [rows.schema[k] for k in keys]
     block_type = T.StructField(BLOCK, T.LongType())
 
     def schema_with(fields: str) -> T.StructType:
         return T.StructType([*key_fields, block_type, *T.StructType.fromDDL(fields)])
 
-    # number the blocks of each key from 0; one row per key
-    spans = rows.groupBy(*[quote(k) for k in keys]).agg(
-        F.min(BLOCK).alias("__low"), F.max(BLOCK).alias("__high")
-    )
+    spans = key_spans(rows, keys) if spans is None else spans
     highest = spans.agg(F.max(F.col("__high") - F.col("__low"))).first()[0] or 0
     if highest:
+        # number the blocks of each key from 0
         lows = broadcast_if_small(materialise(spans.drop("__high")))
-        rows = rows.join(lows, keys).withColumn(BLOCK, F.col(BLOCK) - F.col("__low")).drop("__low")
+        rows = materialise(rows).join(lows, keys).withColumn(BLOCK, F.col(BLOCK) - F.col("__low")).drop("__low")
         entries = _entries(rows, keys, order, read, limit, start, schema_with, highest)
         rows = rows.join(entries, [*keys, BLOCK], "left")
     elif start is not None:

@@ -9,7 +9,6 @@ and get a reason in ``_invalid``; the original payload stays in ``raw`` when
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -18,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicflow.operators.evolve import merge_schemas
-from topicflow.operators.infer import field_types, collect_fields, schema_from_fields
+from topicflow.operators.infer import infer_schema
 from topicflow.records import INVALID, add_reason
+from topicflow.session import materialise
 
 CORRUPT = "_corrupt_payload"
 PARSED = "__parsed"
@@ -87,6 +87,13 @@ def _project(c: Column, have: T.StructType, want: T.StructType) -> Column:
     return F.when(c.isNotNull(), F.struct(*fields))
 
 
+def _all_null(record: Column, schema: T.StructType) -> Column:
+    nothing = F.lit(True)
+    for f in schema:
+        nothing = nothing & record.getField(f.name).isNull()
+    return nothing
+
+
 def parse_once(df: DataFrame, parsed: Column) -> tuple[DataFrame, Column]:
     """Add the parsed record so that later filters do not parse it again.
 
@@ -124,7 +131,7 @@ def decode_json(
     ``schema_epochs`` for payloads that change type along the topic.
     """
     if schema is None:
-        schema = schema_from_fields(collect_fields(field_types(df, column)), discard_collections)
+        schema = infer_schema(df, column, discard_collections)
     schema = _text_for_empty_names(schema)
     text = F.col(column).cast("string")
     if keep_raw:
@@ -140,7 +147,7 @@ def decode_json(
         return (
             F.when(record.getField(CORRUPT).isNotNull() & ~text.rlike(r"^\s*\{"), NOT_AN_OBJECT)
             .when(record.getField(CORRUPT).isNotNull(), "payload does not match the schema")
-            .when(text.rlike(r"^\s*\{\s*\}"), EMPTY_OBJECT)
+            .when(_all_null(record, schema) & text.rlike(r"^\s*\{\s*\}"), EMPTY_OBJECT)
         )
 
     return _finish(df, column, parsed, schema, reason)
@@ -196,157 +203,94 @@ def decode_json_envelope(df: DataFrame, column: str = "value", keep_raw: str | N
 
 # ---------------------------------------------------------------- XML
 
-TEXT = "_text"  # text beside attributes or child elements
+# Fixed value: the attribute that marks an element as null.
+NIL = "{http://www.w3.org/2001/XMLSchema-instance}nil"
 
 
-def _xml_kinds(text: str) -> list[str]:
-    """``path/…=kind`` of every field of one document, root element left out.
+# Made once: compact JSON, characters as they are.
+to_text = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
 
-    A field is ``text``, ``struct``, or ``list``/``structs`` when repeated.
-    """
-    try:
-        root = ElementTree.fromstring(text)
-    except (ElementTree.ParseError, TypeError):
-        return []
-    found: set[str] = set()
-
-    def walk(element, path: str) -> None:
-        groups: dict[str, list] = {}
-        for child in element:
-            groups.setdefault(child.tag.rpartition("}")[2], []).append(child)
-        for name in element.attrib:
-            found.add(f"{path}{name.rpartition('}')[2]}=text")
-        texts = [element.text or "", *[c.tail or "" for c in element]]
-        if (groups or element.attrib) and any(t.strip() for t in texts):
-            found.add(f"{path}{TEXT}=text")
-        for name, items in groups.items():
-            nested = [len(i) > 0 or bool(i.attrib) for i in items]
-            if len(items) > 1:
-                found.add(f"{path}{name}={'structs' if all(nested) else 'list'}")
-            else:
-                found.add(f"{path}{name}={'struct' if nested[0] else 'text'}")
-            if all(nested):
-                for item in items:
-                    walk(item, f"{path}{name}/")
-
-    walk(root, "")
-    return sorted(found)
-
-
-def _xml_kinds_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        kinds = batch["text"].map(_xml_kinds).explode().dropna()
-        yield kinds.value_counts().rename_axis("field").reset_index(name="rows")
-
-
-def infer_xml_schema(df: DataFrame, column: str = "value") -> T.StructType:
-    """All-text schema of the documents; a field repeated in any row is a list."""
-    rows = (
-        df.select(F.col(column).cast("string").alias("text"))
-        .mapInPandas(_xml_kinds_of, "field string, rows bigint")
-        .groupBy("field")
-        .agg(F.sum("rows").alias("rows"))
-        .collect()
-    )
-    kinds: dict[tuple[str, ...], set[str]] = {}
-    for row in rows:
-        path, _, kind = row["field"].rpartition("=")
-        kinds.setdefault(tuple(path.split("/")), set()).add(kind)
-
-    def build(prefix: tuple[str, ...]) -> T.StructType:
-        fields = []
-        for path in sorted(p for p in kinds if p[:-1] == prefix):
-            seen = kinds[path]
-            if seen <= {"struct"}:
-                dtype: T.DataType = build(path)
-            elif seen <= {"struct", "structs"}:
-                dtype = T.ArrayType(build(path))
-            elif seen <= {"text"}:
-                dtype = T.StringType()
-            else:
-                dtype = T.ArrayType(T.StringType())
-            fields.append(T.StructField(path[-1], dtype))
-        return T.StructType(fields)
-
-    return build(())
-
-
-def _xml_lists(c: Column, dtype: T.DataType) -> Column:
-    """Repeated elements as JSON list text, a single one as itself."""
-    if isinstance(dtype, T.ArrayType):
-        several = F.to_json(c)
-        if isinstance(dtype.elementType, T.StructType):
-            single = F.to_json(c[0])
+
+def _local(name: str) -> str:
+    return name.rpartition("}")[2] if name[0] == "{" else name
+
+
+def _element_value(element):
+    """Text of a leaf, else its attributes and children; repeats become a list."""
+    if not len(element) and not element.attrib:
+        return element.text or ""
+    if element.get(NIL) == "true":
+        return None
+    fields: dict = {}
+    repeated: set[str] = set()
+
+    def add(name: str, value) -> None:
+        if name not in fields:
+            fields[name] = value
+        elif name in repeated:
+            fields[name].append(value)
         else:
-            single = c[0]
-        return F.when(F.size(c) == 1, single).when(F.size(c) > 1, several)
-    if isinstance(dtype, T.StructType):
-        return F.when(
-            c.isNotNull(),
-            F.struct(*[_xml_lists(c.getField(f.name), f.dataType).alias(f.name) for f in dtype]),
-        )
-    return c
+            fields[name] = [fields[name], value]
+            repeated.add(name)
+
+    for name, value in element.attrib.items():
+        add(_local(name), value)
+    loose = element.text or ""
+    for child in element:
+        add(_local(child.tag), _element_value(child))
+        if child.tail:
+            loose += child.tail
+    if loose and not loose.isspace():
+        # text beside attributes or children has no name of its own
+        fields[""] = loose
+    return fields
+
+
+def _document_json(text: str | None) -> str | None:
+    if text is None:
+        return None
+    try:
+        return to_text(_element_value(ElementTree.fromstring(text)))
+    except ElementTree.ParseError:
+        return None
+
+
+@F.pandas_udf(T.StringType())
+def xml_to_json(text: pd.Series) -> pd.Series:
+    """JSON text of XML documents; null where a document is malformed.
+
+    Spark's own ``from_xml`` has no way to express lists that mix text and
+    elements, nor text beside attributes, so Arrow batches go through Python.
+    """
+    return text.map(_document_json)
+
+
+# a plain function could be pushed into filters and then run twice per row
+xml_to_json = xml_to_json.asNondeterministic()
 
 
 def decode_xml(
     df: DataFrame,
     schema: T.StructType | None = None,
     column: str = "value",
-    lists_as_json: bool = True,
+    discard_collections: bool = False,
     keep_raw: str | None = None,
 ) -> DataFrame:
     """XML text to a struct of text fields.
 
     The root element is dropped, attributes are fields like child elements, and
-    repeats form a list even when they do not stand together.  Text beside
-    attributes or children has no name of its own, so such a row is invalid.
+    repeats form a list even when they do not stand together; a list is kept as
+    JSON text.  Text beside attributes or children falls under an empty key,
+    which makes the row invalid.
     """
-    if schema is None:
-        schema = infer_xml_schema(df, column)
-    text = F.col(column).cast("string")
     if keep_raw:
         df = df.withColumn(keep_raw, F.col(column))
-    declared = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
-    options = {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT,
-        "attributePrefix": "",
-        "valueTag": TEXT,
-        "ignoreSurroundingSpaces": "false",
-        "ignoreNamespace": "true",
-        "inferSchema": "false",
-    }
-    df, record = parse_once(df, F.from_xml(text, declared, options))
-    problem = F.when(record.getField(CORRUPT).isNotNull(), "malformed XML")
-    for path in _text_paths(schema):
-        c = record
-        for step in path:
-            c = c.getField(step)
-        problem = F.coalesce(problem, F.when(c.isNotNull(), F.lit(EMPTY_KEY)))
-    filled = [record.getField(f.name).isNotNull() for f in schema]
-    if filled:
-        nothing = ~filled[0]
-        for flag in filled[1:]:
-            nothing = nothing & ~flag
-        problem = F.coalesce(problem, F.when(nothing, NOT_AN_OBJECT))
-    df = add_reason(df, problem)
-    fields = [
-        (_xml_lists(record.getField(f.name), f.dataType) if lists_as_json else record.getField(f.name))
-        .alias(f.name)
-        for f in schema
-        if f.name != TEXT
-    ]
-    return df.withColumn(column, F.when(F.size(INVALID) == 0, F.struct(*fields))).drop(PARSED)
-
-
-def _text_paths(schema: T.StructType, path: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
-    found = []
-    for f in schema:
-        if f.name == TEXT:
-            found.append((*path, f.name))
-        elif isinstance(f.dataType, T.StructType):
-            found += _text_paths(f.dataType, (*path, f.name))
-    return found
+    df = df.withColumn(column, xml_to_json(F.col(column).cast("string")))
+    if schema is None:
+        # inference and decoding both read the JSON, so make it once
+        df = materialise(df)
+    df = add_reason(df, F.when(F.col(column).isNull(), F.lit("malformed XML")))
+    return decode_json(df, schema, column, discard_collections)
 
 
 # ---------------------------------------------------------------- Avro, Protobuf

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from topicflow.operators.breaks import NEVER, Rows, find_breaks
 from topicflow.operators.decode import decode_json
-from topicflow.operators.infer import collect_fields, json_shape, schema_from_fields, shape_fields
+from topicflow.operators.infer import json_shape, schema_from_fields, shape_fields
 from topicflow.operators.ordered import BLOCK, BLOCK_BITS, block_of, fill_from_marks, running
 from topicflow.records import TOPIC_PARTITION, broadcast_if_small
 from topicflow.session import materialise
@@ -46,8 +46,13 @@ def schema_epochs(
     with a row at or after ``s``; only rows where a field changes type compared
     with its previous appearance can be that row.
     """
-    shaped = df.select(*KEYS, F.col("offset").cast("bigint").alias("offset"), json_shape(F.col(column).cast("string")).alias("shape"))
-    shaped = shaped.filter(F.col("shape").startswith("OBJECT<"))
+    shaped = df.select(
+        *KEYS,
+        F.col("offset").cast("bigint").alias("offset"),
+        json_shape(F.col(column).cast("string")).alias("shape"),
+    )
+    # payloads are parsed once; everything below works on shapes
+    shaped = materialise(shaped.filter(F.col("shape").startswith("OBJECT<")))
     previous = running(shaped, KEYS, "offset", previous={"before": "shape"}, block_bits=block_bits)
     # rows of one shape in sequence cannot conflict, so only run starts go on
     runs = previous.filter(F.col("before").isNull() | (F.col("before") != F.col("shape"))).drop("before")
@@ -57,7 +62,7 @@ def schema_epochs(
         "type", F.when(F.col("type").isin(*TEXT_KINDS), "string").otherwise(F.col("type"))
     )
     fields = running(
-        fields, [*KEYS, "path"], "offset",
+        materialise(fields), [*KEYS, "path"], "offset",
         previous={"type_before": "type", "offset_before": "offset"}, block_bits=block_bits,
     )
     conflicts = fields.filter(F.col("type") != F.col("type_before")).select(
@@ -122,7 +127,7 @@ def decode_epochs(df: DataFrame, column: str = "value") -> list[tuple[T.StructTy
     """
     schemas = materialise(epoch_schemas(df, column))
     found = []
-    for row in collect_fields(schemas.select("fields").distinct()):
+    for row in schemas.select("fields").distinct().collect():
         fields = [
             {"path": f["path"], "type": f["type"], "first": 0, "rows": 0} for f in row["fields"]
         ]

@@ -37,11 +37,15 @@ SPARK_TYPES = {
 }
 
 
+def _without_precision(shape: Column) -> Column:
+    return F.when(
+        shape.contains("DECIMAL("), F.regexp_replace(shape, r"DECIMAL\(\d+,\d+\)", "DECIMAL")
+    ).otherwise(shape)
+
+
 def json_shape(text: Column) -> Column:
     """Shape of one JSON value, e.g. ``OBJECT<a: BIGINT, b: OBJECT<c: STRING>>``."""
-    shape = F.schema_of_variant(F.try_parse_json(text))
-    # precision and list content do not matter, so fewer distinct shapes remain
-    return F.regexp_replace(shape, r"DECIMAL\(\d+,\d+\)", "DECIMAL")
+    return _without_precision(F.schema_of_variant(F.try_parse_json(text)))
 
 
 def shape_fields(shape: str) -> list[tuple[list[str], str]]:
@@ -121,20 +125,29 @@ def _fields_of_shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
         yield pd.DataFrame(out, columns=["path", "type", "first", "rows"])
 
 
-def field_types(df: DataFrame, column: str = "value", order: Column | None = None) -> DataFrame:
-    """(path, type, first, rows): every type seen at every path, as a small frame.
+def row_shapes(df: DataFrame, column: str = "value", order: Column | None = None) -> DataFrame:
+    """(shape, first, rows): distinct object shapes, combined on the map side.
 
     ``first`` is the lowest ``order`` (by default the offset, if there is one).
     """
     if order is None:
         order = F.col("offset") if "offset" in df.columns else F.lit(0)
     text = F.col(column).cast("string")
-    shapes = (
-        df.select(json_shape(text).alias("shape"), order.cast("bigint").alias("first"))
+    raw = F.schema_of_variant(F.try_parse_json(text))
+    distinct = (
+        df.select(raw.alias("shape"), order.cast("bigint").alias("first"))
         .filter(F.col("shape").startswith("OBJECT<"))
         .groupBy("shape")
         .agg(F.min("first").alias("first"), F.count("*").alias("rows"))
     )
+    # the pattern runs on distinct shapes, not on every row
+    return distinct.groupBy(_without_precision(F.col("shape")).alias("shape")).agg(
+        F.min("first").alias("first"), F.sum("rows").alias("rows")
+    )
+
+
+def fields_of(shapes: DataFrame) -> DataFrame:
+    """(path, type, first, rows) of shapes, worked out on the executors."""
     return (
         shapes.mapInPandas(
             _fields_of_shapes, "path array<string>, type string, first bigint, rows bigint"
@@ -144,19 +157,37 @@ def field_types(df: DataFrame, column: str = "value", order: Column | None = Non
     )
 
 
-def collect_fields(fields: DataFrame) -> list:
-    """Bring the field list to the driver; it is as large as the schema itself.
+def field_types(df: DataFrame, column: str = "value", order: Column | None = None) -> DataFrame:
+    """(path, type, first, rows): every type seen at every path, as a small frame."""
+    return fields_of(row_shapes(df, column, order))
+
+
+FEW_SHAPES = 1000
 
+
+def collect_fields(df: DataFrame, column: str = "value", order: Column | None = None) -> list:
+    """(path, type, first, rows) on the driver; as many as the schema has fields.
+
+    A few shapes are taken apart here.  Many shapes, as payloads with optional
+    fields in every combination have, are reduced on the executors first.
     A repeated key inside one object keeps its last value, as in the decoder.
     """
-    conf = fields.sparkSession.conf
+    conf = df.sparkSession.conf
     key = "spark.sql.variant.allowDuplicateKeys"
     before = conf.get(key)
     conf.set(key, "true")
     try:
-        return fields.collect()
+        shapes = row_shapes(df, column, order)
+        few = shapes.limit(FEW_SHAPES + 1).collect()
+        if len(few) > FEW_SHAPES:
+            return fields_of(shapes).collect()
     finally:
         conf.set(key, before)
+    return [
+        {"path": path, "type": kind, "first": row["first"], "rows": row["rows"]}
+        for row in few
+        for path, kind in shape_fields(row["shape"])
+    ]
 
 
 def schema_from_fields(
@@ -220,9 +251,7 @@ def infer_schema(
 
     Long against double is a conflict unless ``widen_numbers``.
     """
-    return schema_from_fields(
-        collect_fields(field_types(df, column, order)), discard_collections, widen_numbers
-    )
+    return schema_from_fields(collect_fields(df, column, order), discard_collections, widen_numbers)
 
 
 def schema_conflicts(df: DataFrame, column: str = "value", order: Column | None = None) -> DataFrame:

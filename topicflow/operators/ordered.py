@@ -24,6 +24,11 @@ def block_of(order: str, bits: int) -> Column:
     return F.shiftright(F.col(quote(order)).cast("bigint"), bits)
 
 
+def with_block(df: DataFrame, order: str, bits: int = BLOCK_BITS) -> DataFrame:
+    """Add the block column; one that is there stays, and with it its shuffle."""
+    return df if BLOCK in df.columns else df.withColumn(BLOCK, block_of(order, bits))
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -38,11 +43,14 @@ def running(
     ``previous``: {new: column} value in the row before, null in the first row.
     ``totals``: {new: column} sum up to and including the row.
     ``maxima``: {new: column} maximum over the rows before, null in the first row.
+
+    Keys must not be null.  If ``df`` comes ``with_block`` the result does too,
+    and calls in a row share one shuffle.
     """
     previous, totals, maxima = dict(previous or {}), dict(totals or {}), dict(maxima or {})
     by = [quote(k) for k in keys]
     order_col = F.col(quote(order))
-    source = df.withColumn(BLOCK, block_of(order, block_bits))
+    source = with_block(df, order, block_bits)
 
     here = Window.partitionBy(*by, BLOCK).orderBy(order_col)
     upto = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -53,31 +61,25 @@ def running(
     local |= {f"__m_{n}": F.max(quote(c)).over(before) for n, c in maxima.items()}
 
     # one row per block, combined on the map side
-    sums = [F.sum(quote(c)).alias(f"__s_{n}") for n, c in totals.items()]
-    peaks = [F.max(quote(c)).alias(f"__x_{n}") for n, c in maxima.items()]
-    lasts = []
-    if previous:
-        last_row = F.struct(*[F.col(quote(c)).alias(f"__l_{n}") for n, c in previous.items()])
-        lasts = [F.max_by(last_row, order_col).alias("__last")]
-    blocks = source.groupBy(*by, BLOCK).agg(*sums, *peaks, *lasts)
-
+    blocks = source.groupBy(*by, BLOCK).agg(
+        *[F.sum(quote(c)).alias(f"__s_{n}") for n, c in totals.items()],
+        *[F.max(quote(c)).alias(f"__x_{n}") for n, c in maxima.items()],
+        *[F.max_by(quote(c), order_col).alias(f"__l_{n}") for n, c in previous.items()],
+    )
     along = Window.partitionBy(*by).orderBy(BLOCK)
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [F.sum(f"__s_{n}").over(earlier).alias(f"__ct_{n}") for n in totals]
-    carried += [F.max(f"__x_{n}").over(earlier).alias(f"__cm_{n}") for n in maxima]
-    if previous:
-        carried.append(F.lag("__last").over(along).alias("__cp"))
     carry = blocks.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)], F.col(BLOCK).alias("__kb"), *carried
+        *by,
+        BLOCK,
+        *[F.sum(f"__s_{n}").over(earlier).alias(f"__ct_{n}") for n in totals],
+        *[F.max(f"__x_{n}").over(earlier).alias(f"__cm_{n}") for n in maxima],
+        *[F.lag(f"__l_{n}").over(along).alias(f"__cp_{n}") for n in previous],
     )
 
-    same_block = F.col(BLOCK) == F.col("__kb")
-    for i, k in enumerate(by):
-        same_block = same_block & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    joined = source.withColumns(local).join(carry, same_block, "left")
+    joined = source.withColumns(local).join(carry, [*keys, BLOCK], "left")
     out = [F.col(quote(c)) for c in df.columns]
     for name in previous:
-        c = F.when(F.col("__first"), F.col(f"__cp.__l_{name}")).otherwise(F.col(f"__p_{name}"))
+        c = F.when(F.col("__first"), F.col(f"__cp_{name}")).otherwise(F.col(f"__p_{name}"))
         out.append(c.alias(name))
     for name in totals:
         c = F.col(f"__t_{name}") + F.coalesce(F.col(f"__ct_{name}"), F.lit(0))

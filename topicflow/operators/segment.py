@@ -10,9 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicflow.operators.breaks import NEVER, Rows, find_breaks
+from topicflow.operators.breaks import NEVER, Rows, find_breaks, key_spans
 from topicflow.operators.flatten import KEEP_NULLS
-from topicflow.operators.ordered import BLOCK_BITS, fill_from_marks, running
+from topicflow.operators.ordered import BLOCK, BLOCK_BITS, fill_from_marks, running, with_block
 from topicflow.operators.replay import after_committed
 from topicflow.records import TOPIC_PARTITION, broadcast_if_small, quote
 
@@ -113,10 +113,10 @@ def segment(
         number = F.expr(f"(__row - 1) div {max_records}")
         return counted.withColumn("segment", number).drop(SIZE, "__row")
     if not (max_records or max_bytes) and open_segments is None:
-        flagged = _with_forced(df, rules, block_bits, None)
+        flagged = _with_forced(with_block(df, "offset", block_bits), rules, block_bits, None)
         flagged = flagged.withColumn(FORCED, F.col(FORCED).cast("bigint"))
         counted = running(flagged, KEYS, "offset", totals={"segment": FORCED}, block_bits=block_bits)
-        return counted.drop(FORCED)
+        return counted.drop(FORCED, BLOCK)
 
     size = payload_size(df) if size is None else size
     narrow = df.select(
@@ -126,11 +126,13 @@ def segment(
         *([F.col(quote(by_schema))] if by_schema else []),
         (size if max_bytes else F.lit(0)).cast("bigint").alias(SIZE),
     )
+    narrow = with_block(narrow, "offset", block_bits)
+    spans = key_spans(narrow, KEYS)
     if idle is not None or by_schema:
         narrow = _with_forced(narrow, rules, block_bits, open_segments)
     else:
         narrow = narrow.withColumn(FORCED, F.lit(False))
-    narrow = narrow.select(*KEYS, "offset", SIZE, FORCED)
+    narrow = narrow.select(*KEYS, BLOCK, "offset", SIZE, FORCED)
     start = None
     if open_segments is not None:
         start = open_segments.select(
@@ -141,7 +143,7 @@ def segment(
         )
     marks = find_breaks(
         narrow, KEYS, "offset", _segment_rows, (max_records or NEVER, max_bytes or NEVER),
-        start, block_bits,
+        start, block_bits, spans,
     ).withColumnRenamed("number", "segment")
     return fill_from_marks(df, marks, KEYS, "offset", ["segment"], block_bits).select(
         *[quote(c) for c in names], "segment"

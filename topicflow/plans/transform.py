@@ -15,6 +15,7 @@ from topicflow.operators.decode import (
     decode_json_envelope,
     decode_xml,
     drop_tombstones,
+    xml_to_json,
 )
 from topicflow.operators.evolve import align_to, merge_schemas
 from topicflow.operators.explode import explode_container
@@ -23,7 +24,7 @@ from topicflow.operators.mask import apply_mask
 from topicflow.operators.metadata import embed_metadata
 from topicflow.operators.validate import split_invalid, validate_keys
 from topicflow.plans.options import Options
-from topicflow.records import ENVELOPE, INVALID
+from topicflow.records import ENVELOPE, INVALID, add_reason
 
 VALUE = "value"
 RAW = "raw"
@@ -41,13 +42,16 @@ def _decode(df: DataFrame, options: Options) -> tuple[DataFrame, bool]:
     if options.format == "struct":
         return df.withColumns({RAW: F.to_json(VALUE), INVALID: F.array().cast("array<string>")}), True
     df = df.withColumn(RAW, F.col(VALUE))
-    if options.format == "xml":
-        return decode_xml(df, options.schema, lists_as_json=options.json_chunks is None), False
     if options.format == "json_envelope":
         return decode_json_envelope(df), True
     if options.json_chunks is not None and options.schema is None:
-        text = compact_json(F.col(VALUE).cast("string"))
-        return df.withColumns({VALUE: text, INVALID: F.array().cast("array<string>")}), False
+        # cut the payload itself: no inference, any keys
+        text = F.col(VALUE).cast("string")
+        text = xml_to_json(text) if options.format == "xml" else compact_json(text)
+        df = df.withColumn(VALUE, text)
+        return add_reason(df, F.when(F.col(VALUE).isNull(), F.lit("malformed payload"))), False
+    if options.format == "xml":
+        return decode_xml(df, options.schema, discard_collections=options.discard_collections), False
     decoded = decode_json(df, options.schema, discard_collections=options.discard_collections)
     return decoded, options.schema is not None
 
@@ -55,8 +59,6 @@ def _decode(df: DataFrame, options: Options) -> tuple[DataFrame, bool]:
 def shape_record(df: DataFrame, options: Options) -> DataFrame:
     """Flatten or chunk ``value`` and add lineage to it."""
     if options.json_chunks is not None:
-        if options.format == "xml":
-            df = df.withColumn(VALUE, F.to_json(VALUE))
         df = chunk_json(df, options.json_chunks, options.varchar_length, VALUE)
     elif options.flatten:
         df = flatten(df, VALUE, options.discard_collections)
