@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicflow.operators.evolve import merge_schemas
-from topicflow.operators.infer import infer_schema
+from topicflow.operators.infer import MIXED, MIXED_EMPTY_KEY, infer_schema
 from topicflow.records import INVALID, add_reason
 from topicflow.session import materialise
 
@@ -40,53 +40,83 @@ def require_object(df: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def _empty_names(schema: T.StructType, path: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
-    found = []
-    for field in schema:
-        here = (*path, field.name)
-        if field.name == "":
-            found.append(here)
-        elif isinstance(field.dataType, T.StructType):
-            found += _empty_names(field.dataType, here)
-    return found
+def _is_mixed(field: T.StructField) -> bool:
+    return bool((field.metadata or {}).get(MIXED))
 
 
-def _text_for_empty_names(schema: T.StructType) -> T.StructType:
-    """Any value under an empty key makes the row invalid, so read it as text."""
+def _parse_schema(schema: T.StructType) -> T.StructType:
+    """What the parser is told: mixed fields as variants, empty keys as text."""
     fields = []
     for f in schema:
         dtype = f.dataType
-        if f.name == "":
+        if _is_mixed(f):
+            dtype = T.VariantType()
+        elif f.name == "":
+            # any value under an empty key makes the row invalid
             dtype = T.StringType()
         elif isinstance(dtype, T.StructType):
-            dtype = _text_for_empty_names(dtype)
+            dtype = _parse_schema(dtype)
         fields.append(T.StructField(f.name, dtype))
     return T.StructType(fields)
 
 
-def _without_empty_names(schema: T.StructType) -> T.StructType:
-    fields = []
+def _empty_keys(c: Column, schema: T.StructType) -> list[Column]:
+    """For every object that may hold an empty key, whether it does."""
+    found = []
     for f in schema:
+        inner = c.getField(f.name)
+        if _is_mixed(f):
+            if f.metadata.get(MIXED_EMPTY_KEY):
+                value = F.try_variant_get(inner, _member(""), "variant")
+                found.append(value.isNotNull() & ~F.is_variant_null(value))
+        elif f.name == "":
+            found.append(inner.isNotNull())
+        elif isinstance(f.dataType, T.StructType):
+            found += _empty_keys(inner, f.dataType)
+    return found
+
+
+def _member(name: str) -> str:
+    return f"$['{name}']" if "'" not in name else f'$["{name}"]'
+
+
+def _from_variant(c: Column, field: T.StructField) -> Column:
+    dtype = field.dataType
+    if not isinstance(dtype, T.StructType):
+        return F.try_variant_get(c, "$", dtype.simpleString())
+    shape = F.schema_of_variant(c)
+    filled = shape.startswith("OBJECT<") & (shape != "OBJECT<>")
+    fields = []
+    for f in dtype:
         if f.name == "":
-            continue
-        dtype = f.dataType
-        if isinstance(dtype, T.StructType):
-            dtype = _without_empty_names(dtype)
-        fields.append(T.StructField(f.name, dtype))
-    return T.StructType(fields)
+            value = F.when(~filled, F.try_variant_get(c, "$", f.dataType.simpleString()))
+        else:
+            value = _from_variant(F.try_variant_get(c, _member(f.name), "variant"), f)
+        fields.append(value.alias(f.name))
+    return F.when(c.isNotNull(), F.struct(*fields))
 
 
-def _project(c: Column, have: T.StructType, want: T.StructType) -> Column:
-    own = {f.name: f.dataType for f in have}
+def _record(c: Column, schema: T.StructType) -> Column:
+    """The parsed record without helper fields."""
     fields = []
-    for f in want:
+    for f in schema:
         inner = c.getField(f.name)
-        if isinstance(f.dataType, T.StructType) and own[f.name] != f.dataType:
-            inner = _project(inner, own[f.name], f.dataType)
-        fields.append(inner.alias(f.name))
+        if _is_mixed(f):
+            fields.append(_from_variant(inner, f).alias(f.name))
+        elif f.name != "":
+            if isinstance(f.dataType, T.StructType) and _needs_work(f.dataType):
+                inner = _record(inner, f.dataType)
+            fields.append(inner.alias(f.name))
     return F.when(c.isNotNull(), F.struct(*fields))
 
 
+def _needs_work(schema: T.StructType) -> bool:
+    return any(
+        f.name == "" or _is_mixed(f) or (isinstance(f.dataType, T.StructType) and _needs_work(f.dataType))
+        for f in schema
+    )
+
+
 def _all_null(record: Column, schema: T.StructType) -> Column:
     nothing = F.lit(True)
     for f in schema:
@@ -103,54 +133,43 @@ def parse_once(df: DataFrame, parsed: Column) -> tuple[DataFrame, Column]:
     return df.select("*", F.explode(F.array(parsed)).alias(PARSED)), F.col(PARSED)
 
 
-def _finish(df: DataFrame, column: str, parsed: Column, schema: T.StructType, reason) -> DataFrame:
-    """Put the parsed record in place, flag bad rows and drop helper fields."""
-    df, record = parse_once(df, parsed)
-    problem = reason(record)
-    for path in _empty_names(schema):
-        c = record
-        for step in path:
-            c = c.getField(step)
-        problem = F.coalesce(problem, F.when(c.isNotNull(), F.lit(EMPTY_KEY)))
-    df = add_reason(df, problem)
-    want = _without_empty_names(schema)
-    value = _project(record, schema, want)
-    return df.withColumn(column, F.when(F.size(INVALID) == 0, value)).drop(PARSED)
-
-
 def decode_json(
     df: DataFrame,
     schema: T.StructType | None = None,
     column: str = "value",
     discard_collections: bool = False,
     keep_raw: str | None = None,
+    mixed: bool = False,
 ) -> DataFrame:
     """JSON text to a struct.  Without ``schema`` it is inferred from all rows.
 
     Inference is strict: a field with two types raises ``SchemaConflict``; see
-    ``schema_epochs`` for payloads that change type along the topic.
+    ``schema_epochs`` for payloads that change type along the topic.  With
+    ``mixed`` a field may be an object in some rows and a plain value in
+    others; flattening gives each its own column.
     """
     if schema is None:
-        schema = infer_schema(df, column, discard_collections)
-    schema = _text_for_empty_names(schema)
+        schema = infer_schema(df, column, discard_collections, mixed=mixed)
     text = F.col(column).cast("string")
     if keep_raw:
         df = df.withColumn(keep_raw, F.col(column))
-    declared = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+    declared = T.StructType([*_parse_schema(schema), T.StructField(CORRUPT, T.StringType())])
     # the option also keeps the optimiser from narrowing the parse schema,
     # which would hide type errors in fields a query does not select
-    parsed = F.from_json(
-        text, declared, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    df, record = parse_once(df, F.from_json(text, declared, options))
+
+    corrupt = record.getField(CORRUPT).isNotNull()
+    problem = (
+        F.when(corrupt & ~text.rlike(r"^\s*\{"), NOT_AN_OBJECT)
+        .when(corrupt, "payload does not match the schema")
+        .when(_all_null(record, schema) & text.rlike(r"^\s*\{\s*\}"), EMPTY_OBJECT)
     )
-
-    def reason(record: Column) -> Column:
-        return (
-            F.when(record.getField(CORRUPT).isNotNull() & ~text.rlike(r"^\s*\{"), NOT_AN_OBJECT)
-            .when(record.getField(CORRUPT).isNotNull(), "payload does not match the schema")
-            .when(_all_null(record, schema) & text.rlike(r"^\s*\{\s*\}"), EMPTY_OBJECT)
-        )
-
-    return _finish(df, column, parsed, schema, reason)
+    for flag in _empty_keys(record, schema):
+        problem = problem.when(flag, EMPTY_KEY)
+    df = add_reason(df, problem)
+    value = F.when(F.size(INVALID) == 0, _record(record, schema))
+    return df.withColumn(column, value).drop(PARSED)
 
 
 def compact_json(text: Column) -> Column:
@@ -275,6 +294,7 @@ def decode_xml(
     column: str = "value",
     discard_collections: bool = False,
     keep_raw: str | None = None,
+    mixed: bool = False,
 ) -> DataFrame:
     """XML text to a struct of text fields.
 
@@ -290,7 +310,7 @@ def decode_xml(
         # inference and decoding both read the JSON, so make it once
         df = materialise(df)
     df = add_reason(df, F.when(F.col(column).isNull(), F.lit("malformed XML")))
-    return decode_json(df, schema, column, discard_collections)
+    return decode_json(df, schema, column, discard_collections, mixed=mixed)
 
 
 # ---------------------------------------------------------------- Avro, Protobuf

@@ -15,7 +15,9 @@ KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def flat_name(path: Iterable[str]) -> str:
-    return re.sub(r"[^a-zA-Z0-9]", "_", "_".join(path))
+    # an empty step stands for the plain value of a field that is an object
+    # in other rows, so it adds nothing to the name
+    return re.sub(r"[^a-zA-Z0-9]", "_", "_".join(p for p in path if p))
 
 
 def leaves(

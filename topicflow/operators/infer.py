@@ -190,13 +190,24 @@ def collect_fields(df: DataFrame, column: str = "value", order: Column | None =
     ]
 
 
+# Metadata of a field that is an object in some rows and a plain value in
+# others: a struct whose field with the empty name holds the plain value.
+MIXED = "mixed"
+MIXED_EMPTY_KEY = "mixed_empty_key"
+
+
 def schema_from_fields(
-    rows: list, discard_collections: bool = False, widen_numbers: bool = False
+    rows: list,
+    discard_collections: bool = False,
+    widen_numbers: bool = False,
+    mixed: bool = False,
 ) -> T.StructType:
     """Fold (path, type, first, rows) into one schema; two types at a path raise.
 
     A list beside text is fine, both are text.  An empty object beside a filled
-    one has no fields to add.
+    one has no fields to add.  With ``mixed``, meant for records that will be
+    flattened, an object may stand beside a plain value: their columns have
+    different names, so they do not conflict.
     """
     kinds: dict[tuple[str, ...], dict[str, int]] = {}
     for row in rows:
@@ -204,8 +215,8 @@ def schema_from_fields(
             seen = kinds.setdefault(tuple(row["path"]), {})
             seen[row["type"]] = min(row["first"], seen.get(row["type"], row["first"]))
 
-    def resolve(path: tuple[str, ...]) -> str:
-        seen = dict(kinds[path])
+    def resolve(path: tuple[str, ...], leave_out: str = "") -> str:
+        seen = {k: v for k, v in kinds[path].items() if k != leave_out}
         if "struct" in seen:
             seen.pop("empty", None)
         if {"bigint", "double"} <= set(seen) and widen_numbers:
@@ -231,12 +242,21 @@ def schema_from_fields(
                 # the decoder rejects rows that fill it, so its type is no matter
                 fields.append(T.StructField(name, T.StringType()))
                 continue
+            if mixed and "struct" in kinds[here] and len(kinds[here]) > 1 and build(here).fields:
+                fields.append(mixed_field(here))
+                continue
             kind = resolve(here)
             dtype = build(here) if kind == "struct" else SPARK_TYPES[kind]
             if not (isinstance(dtype, T.StructType) and not dtype.fields):
                 fields.append(T.StructField(name, dtype))
         return T.StructType(fields)
 
+    def mixed_field(path: tuple[str, ...]) -> T.StructField:
+        plain = T.StructField("", SPARK_TYPES[resolve(path, leave_out="struct")])
+        inner = [f for f in build(path) if f.name != ""]
+        metadata = {MIXED: True, MIXED_EMPTY_KEY: (*path, "") in kinds}
+        return T.StructField(path[-1], T.StructType([plain, *inner]), True, metadata)
+
     return build(())
 
 
@@ -246,12 +266,14 @@ def infer_schema(
     discard_collections: bool = False,
     order: Column | None = None,
     widen_numbers: bool = False,
+    mixed: bool = False,
 ) -> T.StructType:
     """The union of all row schemas: fields in order of first appearance, then name.
 
     Long against double is a conflict unless ``widen_numbers``.
     """
-    return schema_from_fields(collect_fields(df, column, order), discard_collections, widen_numbers)
+    fields = collect_fields(df, column, order)
+    return schema_from_fields(fields, discard_collections, widen_numbers, mixed)
 
 
 def schema_conflicts(df: DataFrame, column: str = "value", order: Column | None = None) -> DataFrame:

@@ -50,10 +50,13 @@ def _decode(df: DataFrame, options: Options) -> tuple[DataFrame, bool]:
         text = xml_to_json(text) if options.format == "xml" else compact_json(text)
         df = df.withColumn(VALUE, text)
         return add_reason(df, F.when(F.col(VALUE).isNull(), F.lit("malformed payload"))), False
+    how = {
+        "discard_collections": options.discard_collections,
+        "mixed": options.flatten and not options.explode,
+    }
     if options.format == "xml":
-        return decode_xml(df, options.schema, discard_collections=options.discard_collections), False
-    decoded = decode_json(df, options.schema, discard_collections=options.discard_collections)
-    return decoded, options.schema is not None
+        return decode_xml(df, options.schema, **how), False
+    return decode_json(df, options.schema, **how), options.schema is not None
 
 
 def shape_record(df: DataFrame, options: Options) -> DataFrame:
