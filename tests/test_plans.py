@@ -1,5 +1,6 @@
 import glob
 import json
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -195,7 +196,7 @@ def test_live_closing_keeps_state_across_batches(spark, topic, tmp_path):
     for n, first in ((5, 0), (5, 5), (2, 8)):
         topic(payloads(n, first), first=first).coalesce(1).write.mode("append").parquet(source)
     stream = read_topic(spark, "parquet", {"maxFilesPerTrigger": "1"}, source, streaming=True)
-    closed = closed_segments(stream, max_records=4, idle="1h", size=F.lit(10))
+    closed = closed_segments(stream, max_records=4, size=F.lit(10))
     query = closed.writeStream.format("parquet").option("path", out).option("checkpointLocation", check)
     query.trigger(availableNow=True).start().awaitTermination()
     rows = spark.read.schema(closed.schema).parquet(out).orderBy("segment").collect()
@@ -204,6 +205,21 @@ def test_live_closing_keeps_state_across_batches(spark, topic, tmp_path):
     ]
 
 
+def test_idle_timer_closes_a_segment_without_new_rows(spark, topic, tmp_path):
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    topic(payloads(3)).coalesce(1).write.parquet(source)
+    closed = closed_segments(read_topic(spark, "parquet", path=source, streaming=True), idle="2s", size=F.lit(1))
+    query = closed.writeStream.format("parquet").option("path", out).option("checkpointLocation", check)
+    query = query.trigger(processingTime="1 second").start()
+    rows, waited = [], time.monotonic()
+    while not rows and query.isActive and time.monotonic() - waited < 60:
+        time.sleep(1)
+        if glob.glob(f"{out}/*.parquet"):
+            rows = spark.read.schema(closed.schema).parquet(out).collect()
+    query.stop()
+    assert [(r["first_offset"], r["last_offset"], r["rows"]) for r in rows] == [(0, 2, 3)]
+
+
 def test_idle_sessions(topic):
     df = topic(["x"] * 6).withColumn("timestamp", F.timestamp_seconds(F.when(F.col("offset") < 3, F.col("offset")).otherwise(F.col("offset") + 100)))
     rows = idle_sessions(df, "60s", "0 seconds").orderBy("first_offset").collect()

@@ -36,6 +36,8 @@ def closed_segments(
     Offsets at or below the last one seen are ignored.  Only offset, size and
     time of a row reach the state function; limit micro-batches at the source
     (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``) to bound one call.
+    With ``idle`` the query has timers to wait for, so it needs a
+    ``processingTime`` trigger: ``availableNow`` would never end.
     """
     Rules(max_records, max_bytes, idle)
     gap = None if idle is None else millis(idle)
