@@ -192,7 +192,7 @@ def find_breaks(
     highest = spans.agg(F.max(F.col("__high") - F.col("__low"))).first()[0] or 0
     if highest:
         # number the blocks of each key from 0
-        lows = broadcast_if_small(materialise(spans.drop("__high")))
+        lows = broadcast_if_small(spans.drop("__high"))
         rows = materialise(rows).join(lows, keys).withColumn(BLOCK, F.col(BLOCK) - F.col("__low")).drop("__low")
         entries = _entries(rows, keys, order, read, limit, start, schema_with, highest)
         rows = rows.join(entries, [*keys, BLOCK], "left")

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topicflow.session import materialise
+
 # The envelope has the columns of Spark's own Kafka source.
 ENVELOPE = ("topic", "partition", "offset", "timestamp")
 TOPIC_PARTITION = ("topic", "partition")
@@ -86,8 +88,9 @@ def add_reason(df: DataFrame, reason: Column) -> DataFrame:
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Hint a broadcast only after counting that the frame has few rows.
 
-    Larger frames come back without a hint, for a shuffled join that adaptive
+    The frame is written first, so counting does not compute it twice.  Larger
+    frames come back without a hint, for a shuffled join that adaptive
     execution may still split when one key is hot.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    df = materialise(df)
+    return F.broadcast(df) if df.count() <= max_rows else df
