@@ -137,7 +137,7 @@ def test_failed_publish_is_repeated_without_duplicates(spark, topic, tmp_path, m
         raise OSError("no space")
 
     with monkeypatch.context() as m:
-        m.setattr(ingest, "_write_schema", fail)
+        m.setattr(ingest, "_write_schemas", fail)
         with pytest.raises(OSError):
             ingest_batch(spark, topic(payloads(9)), path, o)
     assert Store(spark, path).manifest(o) is None
@@ -155,6 +155,33 @@ def test_schema_grows_across_batches(spark, topic, tmp_path):
     assert rows == {(1, None, None, None), (None, "x", 5, "own")}
 
 
+def test_type_change_starts_another_version(spark, topic, tmp_path):
+    path, o = str(tmp_path), Options(max_records=3, embed_metadata=False, continue_on_invalid=True)
+    texts = ['{"a":1}', '{"a":2,"b":true}', '{"a":"x"}', '{"a":"y"}', '{"a":3}', "[1]", '{"a":4}']
+    ingest.publish(topic(texts), 0, path, o)
+    ingest.publish(topic(['{"a":5}', '{"a":"z"}'], first=7), 1, path, o)
+    store = Store(spark, path)
+    found = {}
+    for version in (0, 1):
+        for r in store.rows(True, version).collect():
+            found[r["__offset"]] = (r["a"], r["__segment"], r["__topic"])
+    expected = [(1, 0), (2, 0), ("x", 1), ("y", 1), (3, 2), None, (4, 2), (5, 2), ("z", 3)]
+    assert found == {i: (*e, "t") for i, e in enumerate(expected) if e}
+    dead = spark.read.parquet(f"{path}/dead_letters/batch=0").collect()
+    assert [(r["offset"], r["value"]) for r in dead] == [(5, "[1]")]
+    assert {(r["segment"], r["rows"], r["closed"]) for r in store.manifest(o).collect()} == {
+        (0, 2, True), (1, 2, True), (2, 3, True), (3, 1, False)
+    }
+
+
+def test_batch_without_any_record(spark, topic, tmp_path):
+    path, o = str(tmp_path), Options(max_records=3, embed_metadata=False, continue_on_invalid=True)
+    ingest.publish(topic(["[1]", "{}"]), 0, path, o)
+    ingest.publish(topic(['{"a":1}'], first=2), 1, path, o)
+    assert [r["a"] for r in Store(spark, path).rows().collect()] == [1]
+    assert spark.read.parquet(f"{path}/dead_letters/batch=0").count() == 2
+
+
 def test_stream_goes_on_where_it_stopped(spark, topic, tmp_path):
     source, path, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
     o = Options(keys="k", max_records=4, idle="1h", continue_on_invalid=True)

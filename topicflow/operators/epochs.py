@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from topicflow.operators.breaks import NEVER, Rows, find_breaks
 from topicflow.operators.decode import decode_json
-from topicflow.operators.infer import json_shape, schema_from_fields, shape_fields
+from topicflow.operators.infer import json_shape, shape_fields
 from topicflow.operators.ordered import BLOCK, BLOCK_BITS, block_of, fill_from_marks, running
 from topicflow.records import TOPIC_PARTITION, broadcast_if_small
 from topicflow.session import materialise
@@ -119,22 +119,28 @@ def epoch_schemas(df: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def decode_epochs(df: DataFrame, column: str = "value") -> list[tuple[T.StructType, DataFrame]]:
-    """One decoded frame per distinct epoch schema of a frame with ``epoch``.
+def split_epochs(df: DataFrame, column: str = "value") -> list[DataFrame]:
+    """Rows with ``epoch``, one frame per distinct epoch schema.
 
-    Epochs with equal schemas share a frame.  The driver holds the distinct
-    schemas only; each becomes one output table.
+    The driver holds the distinct schemas only; each becomes one output table.
+    Rows of epochs without any readable record come as a frame of their own.
     """
     schemas = materialise(epoch_schemas(df, column))
-    found = []
+    parts = []
     for row in schemas.select("fields").distinct().collect():
-        fields = [
-            {"path": f["path"], "type": f["type"], "first": 0, "rows": 0} for f in row["fields"]
-        ]
         same = schemas.filter(F.col("fields") == _literal(row["fields"])).select(*KEYS, "epoch")
-        part = df.join(broadcast_if_small(same), [*KEYS, "epoch"], "left_semi")
-        schema = schema_from_fields(fields)
-        found.append((schema, decode_json(part, schema, column)))
+        parts.append(df.join(broadcast_if_small(same), [*KEYS, "epoch"], "left_semi"))
+    known = broadcast_if_small(schemas.select(*KEYS, "epoch"))
+    rest = df.join(known, [*KEYS, "epoch"], "left_anti")
+    return parts if rest.isEmpty() else [*parts, rest]
+
+
+def decode_epochs(df: DataFrame, column: str = "value") -> list[tuple[T.StructType, DataFrame]]:
+    """One decoded frame per distinct epoch schema of a frame with ``epoch``."""
+    found = []
+    for part in split_epochs(df, column):
+        decoded = decode_json(part, column=column)
+        found.append((decoded.schema[column].dataType, decoded))
     return found
 
 

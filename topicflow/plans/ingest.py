@@ -2,12 +2,15 @@
 
 Layout below one root folder, every part keyed by the batch that wrote it:
 
-    data/__batch=N/__topic=…/__partition=…/__segment=…   records and helper columns
+    data/__batch=N/__schema=V/__topic=…/__partition=…/__segment=…   records and helpers
     dead_letters/batch=N                               original rows and reasons
     state/batch=N                                      last segment per topic-partition
-    schema/batch=N                                     record schema evolved so far
+    schema/batch=N                                     record schemas evolved so far
     manifest/batch=N                                   one row per segment part
 
+A payload whose fields change type starts another version of the record schema;
+each version is a table of its own, and a segment never holds two.
+
 A batch is published by its manifest, which is written last.  A batch that
 failed on the way is written again under the same number and replaces itself.
 """
@@ -16,12 +19,17 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topicflow.operators.decode import drop_tombstones
+from topicflow.operators.epochs import schema_epochs, split_epochs
+from topicflow.operators.evolve import SchemaConflict, merge_schemas
 from topicflow.operators.latest import latest_per_key
+from topicflow.operators.ordered import BLOCK, fill_from_marks, with_block
 from topicflow.operators.replay import drop_replayed
 from topicflow.operators.segment import close_manifest, committed_offsets, payload_size, segment
 from topicflow.plans.options import Options
@@ -31,9 +39,10 @@ from topicflow.session import materialise
 from topicflow.sinks.parquet import parquet_writer, row_group_bytes_for, write_dead_letters
 
 KEYS = list(TOPIC_PARTITION)
-# Helper columns beside the record; the first three are folders.
+# Helper columns beside the record: folders, then plain columns.
 PLACE = (
     T.StructType()
+    .add("__schema", T.IntegerType())
     .add("__topic", T.StringType())
     .add("__partition", T.IntegerType())
     .add("__segment", T.LongType())
@@ -41,8 +50,9 @@ PLACE = (
 COUNTED = T.StructType([T.StructField(n, T.LongType()) for n in ("__offset", "__bytes", "__ts")])
 MANIFEST = (
     "topic string, partition int, segment bigint, first_offset bigint, last_offset bigint, "
-    "bytes bigint, rows bigint, last_ts bigint, sealed boolean"
+    "bytes bigint, rows bigint, last_ts bigint, schema int, sealed boolean"
 )
+NOTHING = "__nothing"
 
 
 def _folder(spark: SparkSession, path: str):
@@ -80,9 +90,11 @@ class Store:
     def state(self, batch: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/state/batch={batch}")
 
-    def schema(self, batch: int) -> T.StructType:
+    def versions(self, batch: int) -> tuple[list[T.StructType], list[T.StructType]]:
+        """(transformed, written) record schema of every version."""
         text = self.spark.read.parquet(f"{self.path}/schema/batch={batch}").first()["json"]
-        return T.StructType.fromJson(json.loads(text))
+        both = json.loads(text)
+        return tuple([T.StructType.fromJson(s) for s in both[k]] for k in ("records", "written"))
 
     def parts(self) -> DataFrame | None:
         """Segment parts of all published batches."""
@@ -106,6 +118,7 @@ class Store:
             F.sum("bytes").alias("bytes"),
             F.sum("rows").alias("rows"),
             F.max("last_ts").alias("last_ts"),
+            F.max("schema").alias("schema"),
             F.bool_or("sealed").alias("__sealed"),
         )
         found = close_manifest(whole, options.max_records, options.max_bytes, options.idle, now)
@@ -115,31 +128,72 @@ class Store:
         manifest = self.manifest(options, now)
         return None if manifest is None else committed_offsets(manifest)
 
-    def rows(self, lineage: bool = False) -> DataFrame:
+    def rows(self, lineage: bool = False, version: int = -1) -> DataFrame:
         """All published records, unfinished batches left out; ``lineage`` adds
-        topic, partition, segment and offset as ``__topic`` and so on."""
+        topic, partition, segment and offset as ``__topic`` and so on.
+
+        ``version`` picks one of the record schemas, by default the newest."""
         parts = self.parts()
         if parts is None:
             raise ValueError(f"nothing is published under {self.path}")
         done = finished_batches(self.spark, self.path)
-        record = self.schema(done[-1])
+        written = self.versions(done[-1])[1]
+        version = range(len(written))[version]
+        record = written[version]
         schema = T.StructType([*record, *COUNTED, *PLACE]).add("__batch", T.LongType())
         df = self.spark.read.schema(schema).parquet(f"{self.path}/data")
-        df = df.filter(F.col("__batch").isin(done))
+        df = df.filter(F.col("__batch").isin(done) & (F.col("__schema") == version))
+        names = ("__topic", "__partition", "__segment")
         listed = parts.select(
-            F.col("batch").alias("__batch"),
-            *[F.col(n[2:]).alias(n) for n in PLACE.names],
+            F.col("batch").alias("__batch"), *[F.col(n[2:]).alias(n) for n in names]
         )
-        df = df.join(broadcast_if_small(listed), ["__batch", *PLACE.names], "left_semi")
-        names = [f.name for f in record] + ([*PLACE.names, "__offset"] if lineage else [])
-        return df.select(*[quote(n) for n in names])
+        df = df.join(broadcast_if_small(listed), ["__batch", *names], "left_semi")
+        columns = [f.name for f in record] + ([*names, "__offset"] if lineage else [])
+        return df.select(*[quote(n) for n in columns])
 
 
-def _write_schema(spark: SparkSession, schema: T.StructType, path: str) -> None:
-    frame = spark.range(1).select(F.lit(schema.json()).alias("json"))
+def _write_schemas(spark: SparkSession, records, written, path: str) -> None:
+    text = json.dumps(
+        {"records": [s.jsonValue() for s in records], "written": [s.jsonValue() for s in written]}
+    )
+    frame = spark.range(1).select(F.lit(text).alias("json"))
     frame.coalesce(1).write.mode("overwrite").parquet(path)
 
 
+def _versioned(
+    df: DataFrame, options: Options, versions: list[T.StructType]
+) -> tuple[list[tuple[DataFrame, int]], list[T.StructType]]:
+    """Transformed rows with the schema version they belong to, and all versions.
+
+    Normally that is one frame on the newest version.  Only when types conflict
+    are schemaless rows cut into epochs, and each epoch goes to the newest
+    version it fits, or starts one.
+    """
+    try:
+        rows, schema = transform_rows(df, options, versions[-1] if versions else None)
+        versions = [*versions[:-1], schema]
+        return [(rows, len(versions) - 1)], versions
+    except SchemaConflict:
+        if options.format != "json" or options.schema is not None:
+            raise
+    frames, versions = [], list(versions)
+    staged = materialise(schema_epochs(drop_tombstones(df)))
+    for part in split_epochs(staged):
+        for version in reversed(range(len(versions))):
+            try:
+                rows, schema = transform_rows(part, options, versions[version])
+                versions[version] = schema
+                break
+            except SchemaConflict:
+                continue
+        else:
+            rows, schema = transform_rows(part, options)
+            version = len(versions)
+            versions.append(schema)
+        frames.append((rows, version))
+    return frames, versions
+
+
 def publish(
     df: DataFrame,
     batch: int,
@@ -157,67 +211,107 @@ def publish(
     spark = df.sparkSession
     store = Store(spark, path)
     last = store.before(batch)
-    opened = known = None
+    opened, versions, written = None, [], []
     if last is not None:
-        opened, known = store.state(last), store.schema(last)
+        opened, (versions, written) = store.state(last), store.versions(last)
         df = drop_replayed(df, opened.select(*KEYS, F.col("last_offset").alias("offset")))
     else:
         df = drop_replayed(df)
 
-    rows, schema = transform_rows(df, options, known)
-    rows = rows.withColumns(
-        {RAW: F.when(F.size(INVALID) > 0, F.col(RAW)), "__bytes": payload_size(rows, VALUE)}
-    )
+    frames, versions = _versioned(df, options, versions)
     # payloads are decoded here once; what follows reads the columns it needs
-    rows = materialise(rows)
-    valid, dead = split_rows(rows, options)
-    write_dead_letters(dead.drop("__bytes"), f"{path}/dead_letters/batch={batch}", "overwrite")
-
-    if any((options.max_records, options.max_bytes, options.idle)):
-        valid = segment(
-            valid, options.max_records, options.max_bytes, options.idle,
-            size=F.col("__bytes"), open_segments=opened,
-        )
-    else:
-        valid = valid.withColumn("segment", F.lit(0).cast("bigint"))
-        if opened is not None:
-            following = broadcast_if_small(opened.select(*KEYS, F.col("segment").alias("__next")))
-            valid = valid.join(following, KEYS, "left")
-            valid = valid.withColumn("segment", F.coalesce("__next", "segment")).drop("__next")
-    out = explode_rows(valid, options)
-    record = out.schema[VALUE].dataType
+    staged = [(materialise(_counted(rows)), version) for rows, version in frames]
+    split = [(*split_rows(rows, options), version) for rows, version in staged]
+    dead = reduce(DataFrame.unionAll, [d.drop("__bytes") for _, d, _ in split])
+    write_dead_letters(dead, f"{path}/dead_letters/batch={batch}", "overwrite")
+
     data = f"{path}/data/__batch={batch}"
-    out = out.select(
-        *[F.col(f"{VALUE}.{quote(f.name)}") for f in record],
-        F.col("offset").alias("__offset"), "__bytes", F.unix_millis("timestamp").alias("__ts"),
-        *[F.col(n[2:]).alias(n) for n in PLACE.names],
-    )
+    valid = [(v, version) for v, _, version in split]
+    written = [*written, *[T.StructType()] * (len(versions) - len(written))]
     size = row_group_bytes_for(options.row_group_bytes, options.max_bytes)
-    parquet_writer(out, "overwrite", size).partitionBy(*PLACE.names).parquet(data)
+    mode = "overwrite"
+    for rows, version in _segmented(valid, options, opened, len(versions) > 1):
+        out = explode_rows(rows, options)
+        record = T.StructType([f for f in out.schema[VALUE].dataType if f.name != NOTHING])
+        written[version] = merge_schemas(written[version], record)
+        out = out.select(
+            *[F.col(f"{VALUE}.{quote(f.name)}") for f in record],
+            F.col("offset").alias("__offset"), "__bytes", F.unix_millis("timestamp").alias("__ts"),
+            F.lit(version).alias("__schema"), *[F.col(n[2:]).alias(n) for n in PLACE.names[1:]],
+        )
+        parquet_writer(out, mode, size).partitionBy(*PLACE.names).parquet(data)
+        mode = "append"
 
-    written = spark.read.schema(T.StructType([*COUNTED, *PLACE])).parquet(data)
+    found = spark.read.schema(T.StructType([*COUNTED, *PLACE])).parquet(data)
     if options.explode:
         # a segment counts containers, not the rows they were turned into
-        written = written.dropDuplicates(["__topic", "__partition", "__offset"])
-    parts = written.groupBy(*[F.col(n).alias(n[2:]) for n in PLACE.names]).agg(
+        found = found.dropDuplicates(["__topic", "__partition", "__offset"])
+    parts = found.groupBy(*[F.col(n).alias(n[2:]) for n in PLACE.names[1:]]).agg(
         F.min("__offset").alias("first_offset"),
         F.max("__offset").alias("last_offset"),
         F.sum("__bytes").alias("bytes"),
         F.count("*").alias("rows"),
         F.max("__ts").alias("last_ts"),
+        F.max("__schema").alias("schema"),
     )
     if not keep_open and not flush:
         closed = close_manifest(parts, options.max_records, options.max_bytes, options.idle)
         parts = closed.filter("closed").drop("closed", "file_name")
     parts = materialise(parts.withColumn("sealed", F.lit(not keep_open)))
     _write_state(parts, opened, f"{path}/state/batch={batch}", keep_open)
-    _write_schema(spark, record if options.explode else schema, f"{path}/schema/batch={batch}")
+    _write_schemas(spark, versions, written, f"{path}/schema/batch={batch}")
     parts.write.mode("overwrite").parquet(f"{path}/manifest/batch={batch}")
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """Add the payload size; keep the original payload of invalid rows only."""
+    if not rows.schema[VALUE].dataType.fields:
+        # no readable record at all, and Parquet has no empty structs
+        rows = rows.withColumn(VALUE, F.struct(F.lit(None).cast("string").alias(NOTHING)))
+    raw = F.when(F.size(INVALID) > 0, F.col(RAW))
+    return rows.withColumns({RAW: raw, "__bytes": payload_size(rows, VALUE)})
+
+
+def _segmented(
+    frames: list[tuple[DataFrame, int]], options: Options, opened: DataFrame | None, by_schema: bool
+) -> list[tuple[DataFrame, int]]:
+    """Add ``segment`` to every frame, numbered over all of them together."""
+    rules = (options.max_records, options.max_bytes, options.idle)
+    watched = "__schema" if by_schema else None
+    if not any(rules) and not by_schema:
+        ((rows, version),) = frames
+        rows = rows.withColumn("segment", F.lit(0).cast("bigint"))
+        if opened is not None:
+            following = broadcast_if_small(opened.select(*KEYS, F.col("segment").alias("__next")))
+            rows = rows.join(following, KEYS, "left")
+            rows = rows.withColumn("segment", F.coalesce("__next", "segment")).drop("__next")
+        return [(rows, version)]
+    if len(frames) == 1:
+        ((rows, version),) = frames
+        rows = rows.withColumn("__schema", F.lit(str(version)))
+        rows = segment(rows, *rules, watched, F.col("__bytes"), opened)
+        return [(rows.drop("__schema"), version)]
+    narrow = reduce(
+        DataFrame.unionAll,
+        [
+            rows.select(*KEYS, "offset", "timestamp", "__bytes", F.lit(str(v)).alias("__schema"))
+            for rows, v in frames
+        ],
+    )
+    cut = segment(narrow, *rules, watched, F.col("__bytes"), opened)
+    marks = materialise(
+        with_block(cut, "offset").groupBy(*KEYS, BLOCK, "segment").agg(F.min("offset").alias("offset"))
+    ).select(*KEYS, "offset", "segment")
+    return [
+        (fill_from_marks(rows, marks, KEYS, "offset", ["segment"]), version)
+        for rows, version in frames
+    ]
+
+
 def _write_state(parts: DataFrame, opened: DataFrame | None, path: str, keep_open: bool) -> None:
     """Last segment per topic-partition: where the next batch goes on."""
-    now = parts.select(*KEYS, "segment", "rows", "bytes", "last_ts", "last_offset")
+    version = F.col("schema").cast("string").alias("last_schema")
+    now = parts.select(*KEYS, "segment", "rows", "bytes", "last_ts", "last_offset", version)
     if opened is not None:
         # the open segment may have got more rows: add up its parts
         before = opened.select(*now.columns)
@@ -227,6 +321,7 @@ def _write_state(parts: DataFrame, opened: DataFrame | None, path: str, keep_ope
             .agg(
                 F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"),
                 F.max("last_ts").alias("last_ts"), F.max("last_offset").alias("last_offset"),
+                F.max("last_schema").alias("last_schema"),
             )
         )
     newest = latest_per_key(now, KEYS, "segment")
@@ -239,11 +334,10 @@ def _write_state(parts: DataFrame, opened: DataFrame | None, path: str, keep_ope
                 "rows": F.lit(0).cast("bigint"),
                 "bytes": F.lit(0).cast("bigint"),
                 "last_ts": F.lit(None).cast("bigint"),
+                "last_schema": F.lit(None).cast("string"),
             }
         )
-    newest.withColumn("last_schema", F.lit(None).cast("string")).coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(path)
+    newest.coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def ingest_batch(
