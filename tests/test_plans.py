@@ -15,7 +15,7 @@ from topicflow.plans import ingest
 from topicflow.plans.ingest import Store, ingest_batch
 from topicflow.plans.options import Options
 from topicflow.plans.transform import explode_rows, transform
-from topicflow.sinks.parquet import read_table, row_group_bytes_for, upsert_table, write_segments
+from topicflow.sinks.parquet import create_target_sql, read_table, row_group_bytes_for, upsert_table, write_segments
 from topicflow.sources.topic import TOPIC_SCHEMA, as_topic, read_topic
 from topicflow.streaming.ingest import ingest_stream
 from topicflow.streaming.segments import closed_segments, idle_sessions
@@ -299,6 +299,8 @@ def test_column_widths(spark):
             overlong_strings(df, bad)
     assert column_ddl(df.schema, 10) == "`a` VARCHAR(10), `b` VARCHAR(10), `n` int"
     assert column_ddl(df.schema) == "`a` string, `b` string, `n` int"
+    made = create_target_sql("target", df.schema, 3)
+    assert made == "CREATE TABLE IF NOT EXISTS target (`a` VARCHAR(3), `b` VARCHAR(3), `n` int) USING parquet"
 
 
 def test_read_topic(spark, topic, tmp_path):

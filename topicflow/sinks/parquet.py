@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from topicflow.operators.latest import latest_per_key, merge_latest
+from topicflow.operators.latest import column_ddl, latest_per_key, merge_latest
 from topicflow.records import INVALID
 
 PARTITIONS = ("topic", "partition", "segment")
@@ -89,7 +89,8 @@ def read_latest(
     return latest_per_key(df, keys, order, tiebreak)
 
 
-def create_target_sql(table: str, schema, varchar_length: int | None = None) -> str:
-    from topicflow.operators.latest import column_ddl
-
+def create_target_sql(
+    table: str, schema: T.StructType, varchar_length: int | None = None
+) -> str:
+    """DDL of the target table; Spark then refuses text longer than the width."""
     return f"CREATE TABLE IF NOT EXISTS {table} ({column_ddl(schema, varchar_length)}) USING parquet"
