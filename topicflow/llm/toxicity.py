@@ -30,14 +30,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicflow.llm.common import batch_of, slices
+from topicflow.llm.common import batch_of, slices, stage
 from topicflow.llm.decontaminate import FOLD
+from topicflow.llm.simhash import shingle_hashes
 
 SAMPLE = 4000
 VOTERS = 400
 FEATURES = 4000
-#: A feature must be in so many texts of the sample.
+#: A feature must be in so many texts of the sample, and its share of toxic ones so
+#: many standard errors away from that of the sample.
 LEAST_TEXTS = 4
+LEAST_ERRORS = 5.5
 PREFIXES = (4, 5, 6, 7)
 FORMS = {
     "#shout": re.compile(r"[A-Z]{3,}!{2,}"),
@@ -57,6 +60,17 @@ def features(text: str) -> set[bytes]:
     return out
 
 
+def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least hash of four words in a row, which most near copies share."""
+    schema = pa.schema(
+        [("sketch", pa.int64()), ("doc_id", pa.int64()), ("toxic", pa.int32()), ("text", pa.string())]
+    )
+    for batch in slices(batches):
+        hashes = [shingle_hashes(t, 4, 1).view(np.int64) for t in batch.column("text").to_pylist()]
+        least = [int(h.min()) if len(h) else 0 for h in hashes]
+        yield batch_of(schema, least, *[batch.column(c) for c in ("doc_id", "toxic", "text")])
+
+
 def count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with each feature by label; at most ``sample`` texts of each label come here."""
     schema = pa.schema([("feature", pa.binary()), ("toxic", pa.int32()), ("n", pa.int64())])
@@ -87,7 +101,11 @@ def present(wanted: dict[bytes, int]):
 
 
 def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> np.ndarray:
-    """Posterior chance of toxic for each row of votes (0 or 1), from ``start`` on."""
+    """Posterior chance of toxic for each row of votes (0 or 1), from ``start`` on.
+
+    Abstaining says nothing; that all abstain is a vote of its own.
+    """
+    votes = np.column_stack([votes, votes.sum(1) == 0]).astype(float)
     chance = start.astype(float)
     weight = np.ones(votes.shape[1])
     for r in range(rounds):
@@ -96,9 +114,7 @@ def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> np.nd
         off = ((1 - chance) @ votes + 0.05) / ((1 - chance).sum() + 1)
         if r == 0:
             weight = 1 / dependence(votes, chance, on, off)
-        yes = votes @ (weight * (np.log(on) - np.log(off)))
-        none = (1 - votes) @ (weight * (np.log1p(-on) - np.log1p(-off)))
-        odds = np.log(prior) - np.log1p(-prior) + yes + none
+        odds = np.log(prior) - np.log1p(-prior) + votes @ (weight * (np.log(on) - np.log(off)))
         chance = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return chance
 
@@ -172,24 +188,33 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, tex
         return {}, None
     few = docs.sparkSession.createDataFrame(chosen, "doc_id bigint, toxic int")
     texts = rows.where(F.col("text").isNotNull()).join(F.broadcast(few), "doc_id")
+    # near copies of one text would make all its words look telling
+    texts = texts.mapInArrow(sketch, "sketch bigint, doc_id bigint, toxic int, text string")
+    texts = texts.groupBy("sketch", "toxic").agg(F.min_by("text", F.struct("doc_id", "text")).alias("text"))
+    texts = stage(texts, "toxicity")
     counted = texts.select("text", "toxic").mapInArrow(
         count_features, "feature binary, toxic int, n bigint"
     )
-    total = Counter(r.toxic for r in chosen)
+    total = Counter({r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()})
+    if len(total) < 2:
+        return {}, None
     counted = counted.groupBy("feature").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean"),
     )
-    odds = F.log((F.col("toxic") + 0.5) / (total[1] + 1)) - F.log((F.col("clean") + 0.5) / (total[0] + 1))
+    share = total[1] / (total[0] + total[1])
+    texts_with = F.col("toxic") + F.col("clean")
+    errors = (F.col("toxic") - share * texts_with) / F.sqrt(texts_with * share * (1 - share))
     strong = (
-        counted.where(F.col("toxic") + F.col("clean") >= LEAST_TEXTS)
-        .select("feature", "toxic", "clean", odds.alias("odds"))
-        .orderBy(F.desc(F.abs("odds") * F.sqrt(F.col("toxic") + F.col("clean"))), "feature")
+        counted.where(texts_with >= LEAST_TEXTS)
+        .select("feature", errors.alias("errors"))
+        .where(F.abs("errors") >= LEAST_ERRORS)
+        .orderBy(F.desc(F.abs("errors")), "feature")
         .limit(FEATURES)
         .collect()
     )
     place = {bytes(r.feature): i for i, r in enumerate(strong)}
-    voters = [i for i, r in enumerate(strong) if r.odds > 2.0][:VOTERS]
+    voters = [i for i, r in enumerate(strong) if r.errors > 0][:VOTERS]
     seen = texts.select("text", "toxic").mapInArrow(present(place), "toxic int, found array<int>")
     seen = seen.toArrow().to_pydict()
     if not seen["found"] or not voters:
