@@ -16,7 +16,7 @@ from array import array
 from types import ModuleType
 
 #: A process forgets all pieces beyond so many.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 700_000
 #: Longer pieces are not kept.
 KEPT_LENGTH = 48
 
@@ -101,6 +101,8 @@ class Encoder:
         if m is None:
             return None
         space, core, end = m.groups()
+        if end and (ids := self.known.get(space + core)):
+            return ids + self.ends[end]
         if not core.isascii():
             if max(core) > "ɏ":
                 return None
