@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from topicflow.session import checkpoint_folder
 
 #: Text bytes that a Python function takes at a time from an Arrow batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from topicflow.llm.common import batch_of, stage
 
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 6 << 20
 BLOCK_WORDS = 1 << 21
 WINDOW = 10
 

@@ -16,7 +16,7 @@ from array import array
 from types import ModuleType
 
 #: A process forgets all pieces beyond so many.
-KEPT_PIECES = 700_000
+KEPT_PIECES = 500_000
 #: Longer pieces are not kept.
 KEPT_LENGTH = 48
 
