@@ -40,8 +40,8 @@ HEAD = "<4s5I"
 HEAD_SIZE = struct.calcsize(HEAD)
 VERSION = 1
 #: A block ends with the first document that brings it to so many ids.
-BLOCK_IDS = 1 << 18
-LANES = 1024
+BLOCK_IDS = 1 << 20
+LANES = 4096
 CHECKPOINT_STEPS = 128
 
 
