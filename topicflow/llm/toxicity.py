@@ -128,7 +128,7 @@ def dependence(votes: np.ndarray, chance: np.ndarray, on: np.ndarray, off: np.nd
     return np.where(together > 0.5, together, 0).sum(1)
 
 
-def linear_classifier(found: list[list[int]], target: np.ndarray, n: int, rounds: int = 60) -> np.ndarray:
+def linear_classifier(found: list[list[int]], target: np.ndarray, n: int, rounds: int = 400) -> np.ndarray:
     """Logistic weights and, last, the bias; both classes weigh the same; gradient descent with decay."""
     weights = np.zeros(n + 1)
     flat = np.array([f for x in found for f in x], np.int64)
@@ -140,7 +140,7 @@ def linear_classifier(found: list[list[int]], target: np.ndarray, n: int, rounds
         wrong = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) * mass
         slope = np.concatenate([np.bincount(flat, wrong[row], n), [wrong.sum()]])
         slope[:-1] += 1e-4 * weights[:-1]
-        speed = 0.9 * speed - 20.0 * slope
+        speed = 0.8 * speed - 2.0 * slope
         speed = np.clip(speed, -2, 2)
         weights = weights + speed
     return weights
