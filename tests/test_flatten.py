@@ -55,9 +55,9 @@ def test_flatten_adds_no_shuffle_and_prunes(spark, tmp_path):
 
 
 def test_chunks_of_heterogeneous_list(spark):
-    df = spark.sql("""select '{"heterogeneous_array":["a",1,true]}' as value""")
+    df = spark.sql("""select '{"readings":[false,"dry",20]}' as value""")
     row = chunk_json(df, 2, 20, "value").first()["value"]
-    assert row["payload_chunk1"] == '{"heterogeneous_arra' and row["payload_chunk2"] == 'y":["a",1,true]}'
+    assert row["payload_chunk1"] == '{"readings":[false,"' and row["payload_chunk2"] == 'dry",20]}'
 
 
 def test_chunk_limits(spark):
@@ -88,13 +88,13 @@ def test_record_chunks_keep_nulls(spark):
 
 def test_decimals_to_double_at_any_depth(spark):
     df = spark.sql(
-        """select named_struct('nested_decimal', 0.12345BD, 'nested_float32', 1.45F) as nested, 0.5BD as d,
+        """select named_struct('price', 7.25BD, 'weight', 2.5F) as item, 0.5BD as d,
            cast(null as decimal(9,5)) as none, array(1.5BD) as l, map('k', 2.5BD) as m, 1 as i"""
     )
     out = decimals_to_double(df)
     assert "decimal(" not in out.schema.simpleString()
     row = out.first()
-    assert row["nested"]["nested_decimal"] == 0.12345 and row["d"] == 0.5 and row["none"] is None
+    assert row["item"]["price"] == 7.25 and row["d"] == 0.5 and row["none"] is None
     assert row["l"] == [1.5] and row["m"] == {"k": 2.5} and row["i"] == 1
 
 

@@ -51,19 +51,19 @@ PLAIN = dict(embed_metadata=False, continue_on_invalid=True)
 
 
 def test_transform_evolves_and_aligns(topic):
-    first = transform(topic(['{"a_string":"hello","an_int":1,"a_float":1.5}']), Options(**PLAIN))
-    second = transform(topic(['{"a_string":"again","new":true}']), Options(**PLAIN), first.schema)
-    assert values(second.valid) == [{"a_string": "again", "an_int": None, "a_float": None, "new": True}]
+    first = transform(topic(['{"port":"Oslo","berth":1,"draught":1.5}']), Options(**PLAIN))
+    second = transform(topic(['{"port":"Hull","empty":true}']), Options(**PLAIN), first.schema)
+    assert values(second.valid) == [{"port": "Hull", "berth": None, "draught": None, "empty": True}]
     with pytest.raises(SchemaConflict):
-        transform(topic(['{"a_string":1}']), Options(**PLAIN), first.schema)
+        transform(topic(['{"port":1}']), Options(**PLAIN), first.schema)
 
 
 def test_transform_chunks_payloads_with_any_keys(topic):
     o = Options(json_chunks=2, varchar_length=20, **PLAIN)
-    out = transform(topic(['{"heterogeneous_array": ["a", 1, true]}', '{"12345456789012345456789":"x","":"y"}']), o)
+    out = transform(topic(['{"readings": [false, "dry", 20]}', '{"8":"tin","":"tea and salt"}']), o)
     assert values(out.valid) == [
-        {"payload_chunk1": '{"heterogeneous_arra', "payload_chunk2": 'y":["a",1,true]}'},
-        {"payload_chunk1": '{"123454567890123454', "payload_chunk2": '56789":"x","":"y"}'},
+        {"payload_chunk1": '{"readings":[false,"', "payload_chunk2": 'dry",20]}'},
+        {"payload_chunk1": '{"8":"tin","":"tea a', "payload_chunk2": 'nd salt"}'},
     ]
     xml = Options(format="xml", json_chunks=2, varchar_length=20, **PLAIN)
     assert values(transform(topic(["<r><a>1</a><b/></r>"]), xml).valid)[0]["payload_chunk1"] == '{"a":"1","b":""}'
@@ -161,6 +161,9 @@ def test_type_change_starts_another_version(spark, topic, tmp_path):
     ingest.publish(topic(texts), 0, path, o)
     ingest.publish(topic(['{"a":5}', '{"a":"z"}'], first=7), 1, path, o)
     store = Store(spark, path)
+    with pytest.raises(ValueError, match="2 schemas"):
+        store.rows()
+    assert [s["a"].dataType.simpleString() for s in store.schemas()] == ["bigint", "string"]
     found = {}
     for version in (0, 1):
         for r in store.rows(True, version).collect():
@@ -174,6 +177,13 @@ def test_type_change_starts_another_version(spark, topic, tmp_path):
     }
 
 
+def test_repeated_keys_of_another_type_do_not_stop_a_batch(spark, topic, tmp_path):
+    o = Options(embed_metadata=False)
+    store = ingest_batch(spark, topic(['{"k":1}', '{"k":"x","k":"y"}', '{"k":2}']), str(tmp_path), o)
+    found = {r["__offset"]: r["k"] for n in (0, 1) for r in store.rows(True, n).collect()}
+    assert found == {0: 1, 1: "y", 2: 2}
+
+
 def test_batch_without_any_record(spark, topic, tmp_path):
     path, o = str(tmp_path), Options(max_records=3, embed_metadata=False, continue_on_invalid=True)
     ingest.publish(topic(["[1]", "{}"]), 0, path, o)

@@ -7,8 +7,10 @@ from the row.  Nothing is grouped to build the input, so no key can pile up.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -187,15 +189,14 @@ def decode_xml(spark, sf_dir):
     return flatten(decode.decode_xml(rows), "value").select("offset", "value.*")
 
 
-@query(TOPIC_SQL + f"""
-SELECT "offset", {MIXED_REASON_SQL} AS reason FROM t
+@query(TOPIC_SQL + """
+SELECT "offset", CASE "offset" % 8 WHEN 3 THEN 'payload is an empty object' WHEN 5 THEN 'malformed payload'
+  ELSE 'payload is not an object' END AS reason FROM t
 WHERE "offset" % 8 IN (1, 2, 3, 5)""")
 def require_object(spark, sf_dir):
     """Only the shape is checked here, so an empty key or a null is no fault."""
     rows = decode.require_object(events_topic(spark, sf_dir, mixed_json()))
-    bad = rows.filter(F.size("_invalid") > 0)
-    reason = F.when(F.col("value").startswith('{"user"'), F.lit("payload does not match the schema"))
-    return bad.select("offset", F.coalesce(reason, F.col("_invalid")[0]).alias("reason"))
+    return rows.filter(F.size("_invalid") > 0).select("offset", F.col("_invalid")[0].alias("reason"))
 
 
 # ------------------------------------------------------------------ inference and evolution
@@ -442,15 +443,27 @@ def mask_list_elements(spark, sf_dir):
     )
 
 
-@query()
+def sha512_twice(name: str) -> str:
+    return hashlib.sha512(hashlib.sha512(b"pepper" + name.encode()).digest()).hexdigest()
+
+
+# The market segments of the customer table.
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+SEGMENT_MASKS = ", ".join(f"('{s}', '{sha512_twice(s)}')" for s in SEGMENTS)
+
+
+@query(f"""
+SELECT c_custkey, masked AS c_mktsegment FROM customer
+LEFT JOIN (VALUES {SEGMENT_MASKS}) AS m(name, masked) ON c_mktsegment = name""")
 def mask_sha512(spark, sf_dir):
-    return mask(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_name", "sha512", salt="pepper")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return mask(rows, "c_mktsegment", "sha512", salt="pepper")
 
 
-@query("SELECT count(*) AS n, count(*) AS distinct_masks, 128 AS width FROM customer")
+@query("SELECT count(c_mktsegment) AS n, count(c_mktsegment) AS distinct_masks, 128 AS width FROM customer")
 def mask_random_salt(spark, sf_dir):
     """Equal values must not share a mask."""
-    rows = table(spark, sf_dir, "customer").select(F.lit("same").alias("secret"))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("secret"))
     rows = mask(rows, "secret", "sha512", random_salt=True)
     return rows.groupBy("secret").agg(F.count("*").alias("n"), F.max(F.length("secret")).alias("w")).agg(
         F.sum("n").alias("n"), F.count("*").alias("distinct_masks"), F.max("w").alias("width")
@@ -463,7 +476,7 @@ def mask_random_salt(spark, sf_dir):
 def checked_rows(spark, sf_dir):
     rows = decode.decode_json(
         events_topic(spark, sf_dir, mixed_json()),
-        T.StructType.fromDDL("`` string, user bigint, props struct<k: bigint>"),
+        T.StructType.fromDDL("user bigint, props struct<k: bigint>"),
         keep_raw="raw",
     )
     return validate_keys(rows, ["user"], column="value")
@@ -496,9 +509,9 @@ def missing_key(spark, sf_dir):
 def seen_before(spark, sf_dir):
     """Committed offsets: what lies in the first two fifths of the events."""
     events = events_topic(spark, sf_dir)
-    limit = events.agg(F.expr("(max(offset) * 2) div 5").alias("limit"))
+    limit = events.agg(F.expr("(max(offset) * 2) div 5")).scalar()
     return (
-        events.join(F.broadcast(limit), F.col("offset") <= F.col("limit"))
+        events.filter(F.col("offset") <= limit)
         .groupBy("topic", "partition").agg(F.max("offset").alias("offset"))
     )
 
@@ -729,6 +742,31 @@ def ingest_batch_rows(spark, sf_dir):
     return ingest_batch(spark, rows, path, flow_options()).rows(lineage=True)
 
 
+RETYPED_SQL = 'CASE WHEN "offset" // 500 % 3 = 1 THEN 1 ELSE 0 END'
+
+
+@query(TOPIC_SQL + f"""
+SELECT {RETYPED_SQL} AS version, topic, "partition", "offset",
+  CASE {RETYPED_SQL} WHEN 1 THEN 'x' ELSE '' END || "offset" AS k FROM t""")
+def ingest_conflict_rows(spark, sf_dir):
+    """A field that turns from number to text and back; the text comes under a repeated key."""
+    number = F.col("event_id")
+    value = F.when(
+        F.expr("event_id div 500 % 3 = 1"), text('{"k":', number, ',"k":"x', number, '"}')
+    ).otherwise(text('{"k":', number, "}"))
+    options = Options(embed_metadata=False)
+    store = ingest_batch(spark, events_topic(spark, sf_dir, value), scratch(spark, "conflict"), options)
+    versions = [
+        store.rows(True, n).select(
+            F.lit(n).alias("version"),
+            *[F.col(f"__{c}").alias(c) for c in ("topic", "partition", "offset")],
+            F.col("k").cast("string").alias("k"),
+        )
+        for n in range(len(store.schemas()))
+    ]
+    return reduce(DataFrame.unionAll, versions)
+
+
 @query(TOPIC_SQL + f"""
 , v AS (SELECT *, (row_number() {BY_TP} - 1) // {FLOW_RECORDS} AS segment FROM t WHERE user_id % 10 <> 0)
 """ + FLOW_SQL + ', "offset" AS "__offset", topic AS "__topic", "partition" AS "__partition", segment AS "__segment" FROM v')

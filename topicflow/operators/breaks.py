@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicflow.operators.ordered import BLOCK, BLOCK_BITS, with_block
-from topicflow.records import broadcast_if_small, quote
+from topicflow.records import measured, quote
 from topicflow.session import materialise
 
 NEVER = 1 << 62
@@ -192,12 +192,12 @@ def find_breaks(
     highest = spans.agg(F.max(F.col("__high") - F.col("__low"))).first()[0] or 0
     if highest:
         # number the blocks of each key from 0
-        lows = broadcast_if_small(spans.drop("__high"))
+        lows = measured(spans.drop("__high"))
         rows = materialise(rows).join(lows, keys).withColumn(BLOCK, F.col(BLOCK) - F.col("__low")).drop("__low")
         entries = _entries(rows, keys, order, read, limit, start, schema_with, highest)
         rows = rows.join(entries, [*keys, BLOCK], "left")
     elif start is not None:
-        rows = rows.join(broadcast_if_small(start), keys, "left")
+        rows = rows.join(measured(start), keys, "left")
     if highest or start is not None:
         rows = rows.fillna(0, ["s1", "s2", "breaks"])
     else:

@@ -34,10 +34,14 @@ def drop_tombstones(df: DataFrame, column: str = "value") -> DataFrame:
 
 def require_object(df: DataFrame, column: str = "value") -> DataFrame:
     """Flag payloads that are not a JSON object with at least one key."""
-    keys = F.json_object_keys(F.col(column).cast("string"))
-    return add_reason(
-        df, F.when(keys.isNull(), NOT_AN_OBJECT).when(F.size(keys) == 0, EMPTY_OBJECT)
+    text = F.col(column).cast("string")
+    keys = F.json_object_keys(text)
+    problem = (
+        F.when(keys.isNull() & text.rlike(r"^\s*\{"), "malformed payload")
+        .when(keys.isNull(), NOT_AN_OBJECT)
+        .when(F.size(keys) == 0, EMPTY_OBJECT)
     )
+    return add_reason(df, problem)
 
 
 def _is_mixed(field: T.StructField) -> bool:
@@ -60,6 +64,18 @@ def _parse_schema(schema: T.StructType) -> T.StructType:
     return T.StructType(fields)
 
 
+def _with_empty_keys(schema: T.StructType) -> T.StructType:
+    """The schema with a helper field under the empty key of every object."""
+    fields = []
+    for f in schema:
+        if isinstance(f.dataType, T.StructType) and not _is_mixed(f):
+            f = T.StructField(f.name, _with_empty_keys(f.dataType), True, f.metadata)
+        fields.append(f)
+    if "" not in schema.names:
+        fields.append(T.StructField("", T.StringType()))
+    return T.StructType(fields)
+
+
 def _empty_keys(c: Column, schema: T.StructType) -> list[Column]:
     """For every object that may hold an empty key, whether it does."""
     found = []
@@ -150,6 +166,8 @@ def decode_json(
     """
     if schema is None:
         schema = infer_schema(df, column, discard_collections, mixed=mixed)
+    else:
+        schema = _with_empty_keys(schema)
     text = F.col(column).cast("string")
     if keep_raw:
         df = df.withColumn(keep_raw, F.col(column))

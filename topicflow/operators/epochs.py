@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 
 from topicflow.operators.breaks import NEVER, Rows, find_breaks
 from topicflow.operators.decode import decode_json
-from topicflow.operators.infer import json_shape, shape_fields
+from topicflow.operators.evolve import SchemaConflict
+from topicflow.operators.infer import json_shape, schema_from_fields, shape_fields
 from topicflow.operators.ordered import BLOCK, BLOCK_BITS, block_of, fill_from_marks, running
-from topicflow.records import TOPIC_PARTITION, broadcast_if_small
-from topicflow.session import materialise
+from topicflow.records import TOPIC_PARTITION, measured
+from topicflow.session import keep_last_of_repeated_keys, materialise
 
 KEYS = list(TOPIC_PARTITION)
 # Inferred kinds that share one column type.
@@ -46,6 +47,7 @@ def schema_epochs(
     with a row at or after ``s``; only rows where a field changes type compared
     with its previous appearance can be that row.
     """
+    keep_last_of_repeated_keys(df.sparkSession)
     shaped = df.select(
         *KEYS,
         F.col("offset").cast("bigint").alias("offset"),
@@ -91,6 +93,7 @@ def _conflict_rows(block: pd.DataFrame) -> Rows:
 
 def epoch_fields(df: DataFrame, column: str = "value") -> DataFrame:
     """(topic, partition, epoch, path, type, first, rows) of frames with ``epoch``."""
+    keep_last_of_repeated_keys(df.sparkSession)
     shapes = (
         df.select(
             *KEYS, "epoch", F.col("offset").cast("bigint").alias("offset"),
@@ -119,35 +122,59 @@ def epoch_schemas(df: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def split_epochs(df: DataFrame, column: str = "value") -> list[DataFrame]:
-    """Rows with ``epoch``, one frame per distinct epoch schema.
+def split_epochs(
+    df: DataFrame, column: str = "value", **how: bool
+) -> list[tuple[T.StructType, DataFrame]]:
+    """(schema, rows) for each version that the epochs of a frame with ``epoch`` fit into.
 
-    The driver holds the distinct schemas only; each becomes one output table.
-    Rows of epochs without any readable record come as a frame of their own.
+    Distinct epoch schemas are folded on the driver, without their rows, in the
+    order of their first offsets: each joins the newest version it does not
+    conflict with.  ``how`` goes to ``schema_from_fields``.  Rows of epochs
+    without any readable record come with the first version.
     """
-    schemas = materialise(epoch_schemas(df, column))
-    parts = []
-    for row in schemas.select("fields").distinct().collect():
-        same = schemas.filter(F.col("fields") == _literal(row["fields"])).select(*KEYS, "epoch")
-        parts.append(df.join(broadcast_if_small(same), [*KEYS, "epoch"], "left_semi"))
-    known = broadcast_if_small(schemas.select(*KEYS, "epoch"))
-    rest = df.join(known, [*KEYS, "epoch"], "left_anti")
-    return parts if rest.isEmpty() else [*parts, rest]
+    fields = materialise(epoch_fields(df, column))
+    schemas = fields.groupBy(*KEYS, "epoch").agg(
+        F.sort_array(F.collect_list(F.struct("path", "type"))).alias("fields"),
+        F.min("first").alias("first"),
+    )
+    distinct = schemas.groupBy("fields").agg(F.min(F.struct("first", *KEYS)).alias("at"))
+    distinct = distinct.orderBy("at").collect()
+    if not distinct:
+        return [(T.StructType(), df)]
+    versions: list[dict] = []
+    numbers = []
+    for row in distinct:
+        new = {(tuple(f["path"]), f["type"]): 0 for f in row["fields"]}
+        number = next((n for n in reversed(range(len(versions))) if _fits(versions[n] | new, how)), len(versions))
+        if number == len(versions):
+            versions.append({})
+        versions[number] |= new
+        numbers.append((row["fields"], number))
+    schema = T.StructType([schemas.schema["fields"], T.StructField("__version", T.IntegerType())])
+    numbered = df.sparkSession.createDataFrame(numbers, schema)
+    placed = measured(schemas.join(numbered, "fields").select(*KEYS, "epoch", "__version"))
+    seen = fields.join(placed, [*KEYS, "epoch"]).groupBy("__version", "path", "type")
+    seen = seen.agg(F.min("first").alias("first"), F.sum("rows").alias("rows")).collect()
+    rows = df.join(placed, [*KEYS, "epoch"], "left").fillna(0, ["__version"])
+    return [
+        (
+            schema_from_fields([r for r in seen if r["__version"] == n], **how),
+            rows.filter(F.col("__version") == n).drop("__version"),
+        )
+        for n in range(len(versions))
+    ]
+
+
+def _fits(fields: dict, how: dict) -> bool:
+    try:
+        schema_from_fields([{"path": p, "type": t, "first": n} for (p, t), n in fields.items()], **how)
+    except SchemaConflict:
+        return False
+    return True
 
 
 def decode_epochs(df: DataFrame, column: str = "value") -> list[tuple[T.StructType, DataFrame]]:
-    """One decoded frame per distinct epoch schema of a frame with ``epoch``."""
-    found = []
-    for part in split_epochs(df, column):
-        decoded = decode_json(part, column=column)
-        found.append((decoded.schema[column].dataType, decoded))
-    return found
-
-
-def _literal(fields):
-    return F.array(
-        *[
-            F.struct(F.array(*[F.lit(p) for p in f["path"]]).alias("path"), F.lit(f["type"]).alias("type"))
-            for f in fields
-        ]
-    )
+    """One decoded frame per version of a frame with ``epoch``."""
+    return [
+        (schema, decode_json(part, schema, column)) for schema, part in split_epochs(df, column)
+    ]

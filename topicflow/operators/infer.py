@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicflow.operators.evolve import SchemaConflict
+from topicflow.session import keep_last_of_repeated_keys
 
 # The variant type names that stand for each inferred type.
 # Every number that is not a whole one fitting a long is a double; a list is
@@ -129,7 +130,9 @@ def row_shapes(df: DataFrame, column: str = "value", order: Column | None = None
     """(shape, first, rows): distinct object shapes, combined on the map side.
 
     ``first`` is the lowest ``order`` (by default the offset, if there is one).
+    A repeated key inside one object keeps its last value, as in the decoder.
     """
+    keep_last_of_repeated_keys(df.sparkSession)
     if order is None:
         order = F.col("offset") if "offset" in df.columns else F.lit(0)
     text = F.col(column).cast("string")
@@ -162,32 +165,9 @@ def field_types(df: DataFrame, column: str = "value", order: Column | None = Non
     return fields_of(row_shapes(df, column, order))
 
 
-FEW_SHAPES = 1000
-
-
 def collect_fields(df: DataFrame, column: str = "value", order: Column | None = None) -> list:
-    """(path, type, first, rows) on the driver; as many as the schema has fields.
-
-    A few shapes are taken apart here.  Many shapes, as payloads with optional
-    fields in every combination have, are reduced on the executors first.
-    A repeated key inside one object keeps its last value, as in the decoder.
-    """
-    conf = df.sparkSession.conf
-    key = "spark.sql.variant.allowDuplicateKeys"
-    before = conf.get(key)
-    conf.set(key, "true")
-    try:
-        shapes = row_shapes(df, column, order)
-        few = shapes.limit(FEW_SHAPES + 1).collect()
-        if len(few) > FEW_SHAPES:
-            return fields_of(shapes).collect()
-    finally:
-        conf.set(key, before)
-    return [
-        {"path": path, "type": kind, "first": row["first"], "rows": row["rows"]}
-        for row in few
-        for path, kind in shape_fields(row["shape"])
-    ]
+    """(path, type, first, rows) on the driver; as many as the schema has fields."""
+    return field_types(df, column, order).collect()
 
 
 # Metadata of a field that is an object in some rows and a plain value in

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicflow.operators.ordered import BLOCK_BITS, running
-from topicflow.records import TOPIC_PARTITION, broadcast_if_small
+from topicflow.records import TOPIC_PARTITION, measured
 
 KEYS = list(TOPIC_PARTITION)
 
@@ -14,7 +14,7 @@ KEYS = list(TOPIC_PARTITION)
 def after_committed(df: DataFrame, committed: DataFrame) -> DataFrame:
     """Rows beyond the committed ``offset`` of their topic-partition."""
     last = committed.select(*KEYS, F.col("offset").alias("__committed"))
-    joined = df.join(broadcast_if_small(last), KEYS, "left")
+    joined = df.join(measured(last), KEYS, "left")
     new = F.col("__committed").isNull() | (F.col("offset") > F.col("__committed"))
     return joined.filter(new).select(*[F.col(f"`{c}`") for c in df.columns])
 

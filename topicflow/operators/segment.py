@@ -14,7 +14,7 @@ from topicflow.operators.breaks import NEVER, Rows, find_breaks, key_spans
 from topicflow.operators.flatten import KEEP_NULLS
 from topicflow.operators.ordered import BLOCK, BLOCK_BITS, fill_from_marks, running, with_block
 from topicflow.operators.replay import after_committed
-from topicflow.records import TOPIC_PARTITION, broadcast_if_small, quote
+from topicflow.records import TOPIC_PARTITION, measured, quote
 
 KEYS = list(TOPIC_PARTITION)
 SIZE = "__size"
@@ -70,7 +70,7 @@ def _with_forced(df: DataFrame, rules: Rules, block_bits: int, last: DataFrame |
     df = running(df, KEYS, "offset", previous=watched, block_bits=block_bits)
     if last is not None:
         carried = last.select(*KEYS, F.col("last_ts").alias("__open_ts"), F.col("last_schema").alias("__open_schema"))
-        df = df.join(broadcast_if_small(carried), KEYS, "left")
+        df = df.join(measured(carried), KEYS, "left")
         for name, c in (("__last_ts", "__open_ts"), ("__last_schema", "__open_schema")):
             if name in watched:
                 df = df.withColumn(name, F.coalesce(name, c))
@@ -236,7 +236,7 @@ def mark_closed(df: DataFrame, manifest: DataFrame) -> DataFrame:
     """
     still_open = manifest.filter(~F.col("closed")).select(*KEYS, F.col("segment").alias("__open"))
     return (
-        df.join(broadcast_if_small(still_open), KEYS, "left")
+        df.join(measured(still_open), KEYS, "left")
         .withColumn("closed", F.coalesce(F.col("segment") != F.col("__open"), F.lit(True)))
         .drop("__open")
     )

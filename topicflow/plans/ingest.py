@@ -33,8 +33,8 @@ from topicflow.operators.ordered import BLOCK, fill_from_marks, with_block
 from topicflow.operators.replay import drop_replayed
 from topicflow.operators.segment import close_manifest, committed_offsets, payload_size, segment
 from topicflow.plans.options import Options
-from topicflow.plans.transform import RAW, VALUE, explode_rows, split_rows, transform_rows
-from topicflow.records import INVALID, TOPIC_PARTITION, broadcast_if_small, quote
+from topicflow.plans.transform import RAW, VALUE, explode_rows, inference, split_rows, transform_rows
+from topicflow.records import INVALID, TOPIC_PARTITION, measured, quote
 from topicflow.session import materialise
 from topicflow.sinks.parquet import parquet_writer, row_group_bytes_for, write_dead_letters
 
@@ -128,17 +128,25 @@ class Store:
         manifest = self.manifest(options, now)
         return None if manifest is None else committed_offsets(manifest)
 
-    def rows(self, lineage: bool = False, version: int = -1) -> DataFrame:
+    def schemas(self) -> list[T.StructType]:
+        """Record schema of every version, in the order in which they began."""
+        last = self.before()
+        return [] if last is None else self.versions(last)[1]
+
+    def rows(self, lineage: bool = False, version: int | None = None) -> DataFrame:
         """All published records, unfinished batches left out; ``lineage`` adds
         topic, partition, segment and offset as ``__topic`` and so on.
 
-        ``version`` picks one of the record schemas, by default the newest."""
+        ``version`` picks one of ``schemas()`` and is needed where there are
+        several, since one frame cannot hold them all."""
         parts = self.parts()
         if parts is None:
             raise ValueError(f"nothing is published under {self.path}")
         done = finished_batches(self.spark, self.path)
         written = self.versions(done[-1])[1]
-        version = range(len(written))[version]
+        if version is None and len(written) > 1:
+            raise ValueError(f"the records have {len(written)} schemas: name a version")
+        version = range(len(written))[version or 0]
         record = written[version]
         schema = T.StructType([*record, *COUNTED, *PLACE]).add("__batch", T.LongType())
         df = self.spark.read.schema(schema).parquet(f"{self.path}/data")
@@ -147,7 +155,7 @@ class Store:
         listed = parts.select(
             F.col("batch").alias("__batch"), *[F.col(n[2:]).alias(n) for n in names]
         )
-        df = df.join(broadcast_if_small(listed), ["__batch", *names], "left_semi")
+        df = df.join(measured(listed), ["__batch", *names], "left_semi")
         columns = [f.name for f in record] + ([*names, "__offset"] if lineage else [])
         return df.select(*[quote(n) for n in columns])
 
@@ -166,8 +174,8 @@ def _versioned(
     """Transformed rows with the schema version they belong to, and all versions.
 
     Normally that is one frame on the newest version.  Only when types conflict
-    are schemaless rows cut into epochs, and each epoch goes to the newest
-    version it fits, or starts one.
+    are schemaless rows cut into epochs.  Epochs that do not conflict go together
+    to the newest version they fit, or start one; each is decoded once.
     """
     try:
         rows, schema = transform_rows(df, options, versions[-1] if versions else None)
@@ -178,16 +186,16 @@ def _versioned(
             raise
     frames, versions = [], list(versions)
     staged = materialise(schema_epochs(drop_tombstones(df)))
-    for part in split_epochs(staged):
+    for inferred, part in split_epochs(staged, **inference(options)):
         for version in reversed(range(len(versions))):
             try:
-                rows, schema = transform_rows(part, options, versions[version])
+                rows, schema = transform_rows(part, options, versions[version], inferred)
                 versions[version] = schema
                 break
             except SchemaConflict:
                 continue
         else:
-            rows, schema = transform_rows(part, options)
+            rows, schema = transform_rows(part, options, None, inferred)
             version = len(versions)
             versions.append(schema)
         frames.append((rows, version))
@@ -282,7 +290,7 @@ def _segmented(
         ((rows, version),) = frames
         rows = rows.withColumn("segment", F.lit(0).cast("bigint"))
         if opened is not None:
-            following = broadcast_if_small(opened.select(*KEYS, F.col("segment").alias("__next")))
+            following = measured(opened.select(*KEYS, F.col("segment").alias("__next")))
             rows = rows.join(following, KEYS, "left")
             rows = rows.withColumn("segment", F.coalesce("__next", "segment")).drop("__next")
         return [(rows, version)]

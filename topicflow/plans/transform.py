@@ -37,7 +37,17 @@ class Transformed:
     schema: T.StructType  # of ``value``, evolved
 
 
-def _decode(df: DataFrame, options: Options) -> tuple[DataFrame, bool]:
+def inference(options: Options) -> dict[str, bool]:
+    """How schemas of payloads without one are inferred."""
+    return {
+        "discard_collections": options.discard_collections,
+        "mixed": options.flatten and not options.explode,
+    }
+
+
+def _decode(
+    df: DataFrame, options: Options, inferred: T.StructType | None
+) -> tuple[DataFrame, bool]:
     """Struct column ``value``; the flag says whether rows had a declared schema."""
     if options.format == "struct":
         return df.withColumns({RAW: F.to_json(VALUE), INVALID: F.array().cast("array<string>")}), True
@@ -50,13 +60,10 @@ def _decode(df: DataFrame, options: Options) -> tuple[DataFrame, bool]:
         text = xml_to_json(text) if options.format == "xml" else compact_json(text)
         df = df.withColumn(VALUE, text)
         return add_reason(df, F.when(F.col(VALUE).isNull(), F.lit("malformed payload"))), False
-    how = {
-        "discard_collections": options.discard_collections,
-        "mixed": options.flatten and not options.explode,
-    }
+    how = inference(options)
     if options.format == "xml":
         return decode_xml(df, options.schema, **how), False
-    return decode_json(df, options.schema, **how), options.schema is not None
+    return decode_json(df, inferred if options.schema is None else options.schema, **how), options.schema is not None
 
 
 def shape_record(df: DataFrame, options: Options) -> DataFrame:
@@ -71,15 +78,19 @@ def shape_record(df: DataFrame, options: Options) -> DataFrame:
 
 
 def transform_rows(
-    df: DataFrame, options: Options, known: T.StructType | None = None
+    df: DataFrame,
+    options: Options,
+    known: T.StructType | None = None,
+    inferred: T.StructType | None = None,
 ) -> tuple[DataFrame, T.StructType]:
     """Envelope, ``value``, ``raw`` payload and ``_invalid`` reasons, not yet split.
 
     Order: decode, convert, flatten, lineage, evolve and align, mask, check
     keys.  Masking and keys therefore see flattened names and lineage columns.
     With ``explode`` the record keeps its shape here, see ``explode_rows``.
+    ``inferred`` is the schema of the payloads where it was inferred before.
     """
-    df, declared = _decode(drop_tombstones(df), options)
+    df, declared = _decode(drop_tombstones(df), options, inferred)
     if declared:
         if options.decimals_to_double:
             df = decimals_to_double(df, VALUE)

@@ -85,12 +85,10 @@ def add_reason(df: DataFrame, reason: Column) -> DataFrame:
     )
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only after counting that the frame has few rows.
+def measured(df: DataFrame) -> DataFrame:
+    """A written copy, so that the planner knows its size in bytes.
 
-    The frame is written first, so counting does not compute it twice.  Larger
-    frames come back without a hint, for a shuffled join that adaptive
-    execution may still split when one key is hot.
+    It broadcasts the copy only below its own limit; a larger one is joined
+    through a shuffle, which adaptive execution may split when one key is hot.
     """
-    df = materialise(df)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return materialise(df)

@@ -17,6 +17,7 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MILLIS",
     "spark.sql.parquet.compression.codec": "snappy",
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -26,6 +27,15 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def keep_last_of_repeated_keys(spark: SparkSession) -> None:
+    """A key that one object repeats keeps its last value wherever payloads are read.
+
+    Set once and left, so that concurrent queries cannot see it change.
+    """
+    key = "spark.sql.variant.allowDuplicateKeys"
+    spark.conf.set(key, SETTINGS[key])
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
