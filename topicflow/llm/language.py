@@ -136,6 +136,10 @@ def sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch_of(schema, batch.column("lang"), [s for s, _ in found], [n for _, n in found])
 
 
+def rows_of(found: pa.Table, name: str) -> Iterator[pa.Array]:
+    return (row.values for chunk in found.column(name).chunks for row in chunk)
+
+
 def predict(languages: list[str], rows: np.ndarray | None, temperature: float, reject: float):
     schema = pa.schema(
         [
@@ -194,13 +198,14 @@ def identify(
             chosen = chosen | ((F.col("lang") == r["lang"]) & (rank < limit))
         few = learn.where(chosen).orderBy(rank, "doc_id").limit(sample).select("lang", "text")
         found = few.mapInArrow(sample_counts, "lang string, seen array<int>, share array<float>")
-        found = found.toArrow().to_pydict()
+        found = found.toArrow()
         place = {x: i for i, x in enumerate(languages)}
+        # views of the Arrow buffers; numbers as Python objects would take ten times the memory
         samples = [
-            (np.array(s, np.int32), np.array(n, np.float32))
-            for s, n in zip(found["seen"], found["share"])
+            (seen.to_numpy(zero_copy_only=False), share.to_numpy(zero_copy_only=False))
+            for seen, share in zip(rows_of(found, "seen"), rows_of(found, "share"))
         ]
-        labels = np.array([place[x] for x in found["lang"]], np.int64)
+        labels = np.array([place[x] for x in found.column("lang").to_pylist()], np.int64)
         weights = train(samples, labels, len(languages))
     return rows.select("doc_id", "text").mapInArrow(
         predict(languages, *weights),
