@@ -5,7 +5,7 @@ with each run of ASCII characters other than letters as one space; they are
 hashed to BUCKETS rows of an embedding.  A text is the mean of its rows, then a
 linear layer and softmax.  Stochastic gradient descent in numpy trains on a
 bounded sample of labelled rows (``sample`` texts, shared out evenly among the
-languages, those of the smallest id hashes); a part of it, unseen by training,
+languages, in each those of the smallest id hashes); a part of it, unseen by training,
 sets the temperature that calibrates the score and the score under which a
 prediction is marked as rejected.  As the mean is linear, texts are scored with
 the product of both layers, one row of logits per bucket.
@@ -18,12 +18,13 @@ Extra columns are left out; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicflow.llm.common import batch_of, slices
@@ -102,7 +103,12 @@ def train(
     embedding = rng.uniform(-1, 1, (BUCKETS, WIDTH)).astype(np.float32) / WIDTH
     layer = np.zeros((WIDTH, classes), np.float32)
     order = rng.permutation(len(samples))
-    held, used = order[: len(order) // 5], order[len(order) // 5 :]
+    # every fifth text of each language is held back, so one with few texts is still learned
+    turn = np.zeros(len(order), np.int64)
+    for c in range(classes):
+        own = labels[order] == c
+        turn[own] = np.arange(own.sum())
+    held, used = order[turn % 5 == 4], order[turn % 5 != 4]
     steps, step = EPOCHS * max(1, len(used)), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(used):
@@ -191,12 +197,18 @@ def identify(
     weights = None, 1.0, 0.0
     if languages:
         rank = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-        share = sample / len(languages)
+        share = sample // len(languages)
+        # ranks alone leave somewhat more rows than wanted, the count in each language the rest
+        wanted = share + 6 * math.sqrt(share) + 10
         chosen = F.lit(False)
         for r in sizes:
-            limit = int(min(1.0, 1.2 * share / r["count"]) * (1 << 30))
+            limit = int(min(1.0, wanted / r["count"]) * (1 << 30))
             chosen = chosen | ((F.col("lang") == r["lang"]) & (rank < limit))
-        few = learn.where(chosen).orderBy(rank, "doc_id").limit(sample).select("lang", "text")
+        order = [rank, F.col("doc_id"), F.xxhash64("text")]
+        place = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+        few = learn.where(chosen).withColumn("place", place).where(F.col("place") <= share)
+        # at most ``sample`` rows by now; the limit only has them sorted in one step
+        few = few.orderBy(*order, "lang").limit(sample).select("lang", "text")
         found = few.mapInArrow(sample_counts, "lang string, seen array<int>, share array<float>")
         found = found.toArrow()
         place = {x: i for i, x in enumerate(languages)}
