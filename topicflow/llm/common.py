@@ -45,6 +45,16 @@ def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows written once with a number each, and the new column that holds it.
+
+    Numbers depend on how a scan is split, so all that goes by them reads this table.
+    """
+    taken = {c.lower() for c in docs.columns}
+    row = next(x for k in range(len(taken) + 1) if (x := f"row_{k}") not in taken)
+    return stage(docs.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about SLICE_BYTES of text, or of one longer row."""
     import numpy as np
