@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicflow.llm.common import batch_of, stage
+from topicflow.llm.common import batch_of, numbered, stage
 
 SHARD_BYTES = 6 << 20
 BLOCK_WORDS = 1 << 21
@@ -267,18 +267,20 @@ def contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     block_words: int = BLOCK_WORDS,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per document: row, doc_id, n_words, n_hit, spans of word places, longest match, items.
 
-    ``row`` numbers the rows of ``docs`` as they are read.
+    ``row`` is ``row_col``, which a staged table must hold if it is to be joined by, or
+    numbers the rows of ``docs`` as they are read.
     """
     rows, blocks = benchmark_rows(items, item_col, item_text_col, block_words)
     docs = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),
     )
-    if blocks > 1:
+    if blocks > 1 and not row_col:
         docs = stage(docs, "decontaminate")
     part = F.pmod(F.xxhash64("item"), F.lit(blocks))
     found = None
@@ -309,8 +311,7 @@ def contamination(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, least_hit: int = 1, **options) -> DataFrame:
     """The rows of ``docs`` with fewer than ``least_hit`` hit words, with all their columns."""
-    found = contamination(docs, items, **options)
-    gone = stage(found.where(F.col("n_hit") >= least_hit).select(F.col("row").alias("gone")), "hits")
-    numbered = docs.withColumn("row number", F.monotonically_increasing_id())
-    kept = numbered.join(gone, F.col("row number") == F.col("gone"), "left_anti")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, row = numbered(docs, "decontaminate")
+    found = contamination(rows, items, row_col=row, **options)
+    gone = stage(found.where(F.col("n_hit") >= least_hit).select(F.col("row").alias(row)), "hits")
+    return rows.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicflow.llm.common import batch_of, slices, stage
+from topicflow.llm.common import batch_of, numbered, slices, stage
 from topicflow.llm.components import components
 
 SHINGLE = 4
@@ -70,9 +70,14 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, id_col: str, text_col: str, width: int = SHINGLE, seed: int = SEED
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    width: int = SHINGLE,
+    seed: int = SEED,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """(row, doc_id, fp) of every row; ``row`` numbers the rows as they are read."""
+    """(row, doc_id, fp) of every row; ``row`` is ``row_col`` or numbers the rows as they are read."""
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +89,7 @@ def fingerprints(
             yield batch_of(schema, batch.column("row"), batch.column("doc_id"), found)
 
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),
     )
@@ -249,14 +254,16 @@ def near_duplicates(
     width: int = SHINGLE,
     seed: int = SEED,
     distance: int = DISTANCE,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (hex), component_id, row, stays.
 
     ``component_id`` is the smallest doc_id of the component; ``stays`` holds for one row
-    of each, the first of those with that id; ``row`` numbers the rows as they are read.
+    of each, the first of those with that id; ``row`` is ``row_col``, which a staged table must
+    hold if it is to be joined by, or numbers the rows as they are read.
     """
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    rows = stage(fingerprints(docs, id_col, text_col, width, seed), "fingerprints")
+    rows = stage(fingerprints(docs, id_col, text_col, width, seed, row_col), "fingerprints")
     classes = stage(rows.groupBy("fp").agg(F.min(place).alias("least")), "fingerprints")
     roots = components(near_links(classes.select("fp"), distance))
     placed = classes.join(roots, classes["fp"] == roots["node"], "left").select(
@@ -282,8 +289,7 @@ def drop_near_duplicates(
     distance: int = DISTANCE,
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    found = near_duplicates(docs, id_col, text_col, width, seed, distance)
-    gone = found.where("NOT stays").select(F.col("row").alias("gone"))
-    numbered = docs.withColumn("row number", F.monotonically_increasing_id())
-    kept = numbered.join(gone, F.col("row number") == F.col("gone"), "left_anti")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, row = numbered(docs, "near-duplicates")
+    found = near_duplicates(rows, id_col, text_col, width, seed, distance, row)
+    gone = found.where("NOT stays").select(F.col("row").alias(row))
+    return rows.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
