@@ -87,6 +87,21 @@ def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """The longest run of groups from each country code on that its check digits fit."""
+    at = 0
+    while m := IBAN.search(text, at):
+        start, end = m.span()
+        at = start + 2
+        # capitals after the number match the pattern too; they are left off group by group
+        while end > 0 and len(packed := text[start:end].replace(" ", "")) >= 15:
+            if mod97(packed):
+                yield start, end
+                at = end
+                break
+            end = text.rfind(" ", start, end)
+
+
 def proposals(text: str) -> Iterator[tuple[str, int, int, float]]:
     """Spans of each kind that pass its check, with the score before any context."""
     for a, b in emails(text):
@@ -105,10 +120,8 @@ def proposals(text: str) -> Iterator[tuple[str, int, int, float]]:
         for m in PHONE.finditer(text):
             if 8 <= len(digits_of(m[0])) <= 15:
                 yield "phone", *m.span(), 0.7
-    for m in IBAN.finditer(text):
-        packed = m[0].replace(" ", "")
-        if 15 <= len(packed) <= 34 and mod97(packed):
-            yield "iban", *m.span(), 0.9
+    for start, end in ibans(text):
+        yield "iban", start, end, 0.9
     for m in SSN.finditer(text):
         if m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000":
             yield "ssn", *m.span(), 0.5
