@@ -244,6 +244,8 @@ def test_character_classes_are_the_library_s(encoder):
 def test_round_trip_over_a_table(docs, texts, empty, library):
     encoded = bpe.encode(docs, PATH, public_tokenizers.PATTERN)
     rows = bpe.decode(encoded, PATH).collect()
+    at_once = bpe.encode_and_decode(docs, PATH, public_tokenizers.PATTERN).collect()
+    assert Counter((r.doc_id, tuple(r.ids), r.text) for r in at_once) == Counter((r.doc_id, tuple(r.ids), r.text) for r in rows)
     got = Counter((r.doc_id, tuple(r.ids), bytes(r.decoded), r.text) for r in rows)
     assert got == Counter(
         (t[0], tuple(library.encode_ordinary(t[1] or "")), (t[1] or "").encode(), t[1] or "") for t in texts

@@ -23,9 +23,11 @@ their own.  Extra columns are left out.  An empty table gives an empty table.
 from __future__ import annotations
 
 import base64
+import gc
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +37,13 @@ from pyspark.sql import functions as F
 from topicflow.llm.common import batch_of, documents, slices
 from topicflow.llm.tokens import leading_space_pieces, process_state
 
-KEPT_STATES = 200_000
-KEPT_PAIRS = 1_000_000
+KEPT_STATES = 150_000
+KEPT_PAIRS = 300_000
 #: Encoded pieces of text that a process remembers: at most twice so many.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 150_000
 KEPT_LENGTH = 48
 CHUNK_IDS = 1 << 16
+SLICE_IDS = 1 << 19
 NO_TOKEN = -1
 SINGLE = [bytes([b]) for b in range(256)]
 
@@ -63,7 +66,7 @@ class Merges:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self.edges: dict[tuple[int, bool], list[tuple[bytes, float]]] = {}
 
@@ -110,7 +113,7 @@ class Merges:
         Merges go by rank, so the tokens at the border change as the ranks go up;
         the border falls if the two there merge before either of them is merged away.
         """
-        pair = (left, right)
+        pair = left << 32 | right
         known = self.pairs.get(pair)
         if known is not None:
             return known
@@ -151,8 +154,8 @@ class Transducer:
         start = ((b"", NO_TOKEN, ()),)
         self.states = [start]
         self.numbers = {start: 0}
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-        self.ends: list[tuple[int, ...]] = [()]
+        #: (next state, tokens emitted) by state * 256 + byte.
+        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
 
     def determinise(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The move of a state on a byte: (next state, tokens it emits)."""
@@ -176,48 +179,37 @@ class Transducer:
             emitted = emitted[:shared]
         else:
             emitted = ()
-        target = tuple(living)
-        number = self.numbers.get(target)
-        if number is None:
-            number = self.numbers[target] = len(self.states)
-            self.states.append(target)
-            self.moves.append({})
-            self.ends.append(target[-1][2])
-        move = self.moves[state][byte] = (number, emitted)
+        move = self.moves[state << 8 | byte] = (self.number(tuple(living)), emitted)
         return move
 
+    def number(self, guesses: tuple) -> int:
+        found = self.numbers.get(guesses)
+        if found is None:
+            found = self.numbers[guesses] = len(self.states)
+            self.states.append(guesses)
+        return found
+
     def encode(self, text: bytes) -> list[int]:
         whole = self.merges.ranks.get(text)
         if whole is not None:
             return [whole]
         if len(self.states) > KEPT_STATES:
             self.reset()
-        moves, state, out = self.moves, 0, []
+        known, state, out = self.moves.get, 0, []
         for byte in text:
-            move = moves[state].get(byte)
+            move = known(state << 8 | byte)
             if move is None:
                 move = self.determinise(state, byte)
-                if len(moves) > KEPT_STATES * 2:  # a single long match: go on from this state alone
+                if len(self.states) > 2 * KEPT_STATES:  # a single long match: go on from here alone
                     here = self.states[move[0]]
-                    out += move[1]
                     self.reset()
-                    moves, state = self.moves, self.adopt(here)
-                    continue
+                    move, known = (self.number(here), move[1]), self.moves.get
             state, emitted = move
             if emitted:
                 out += emitted
-        out += self.ends[state]
+        out += self.states[state][-1][2]
         return out
 
-    def adopt(self, target: tuple) -> int:
-        """The number of a state after a reset."""
-        if target not in self.numbers:
-            self.numbers[target] = len(self.states)
-            self.states.append(target)
-            self.moves.append({})
-            self.ends.append(target[-1][2])
-        return self.numbers[target]
-
 
 class Encoder:
     """Texts to ids; pieces between single spaces repeat, so their ids are remembered."""
@@ -333,46 +325,77 @@ def _own(path: str, pattern: str) -> Encoder:
     return kept[path, pattern]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids) of every row, in no order; no shuffle."""
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _own(path, pattern)
-        for batch in slices(batches):
+@contextmanager
+def without_cycles() -> Iterator[None]:
+    """No search for garbage cycles: none arise here, and states and pieces are many objects."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+def id_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about SLICE_IDS ids, or of one longer row."""
+    for batch in batches:
+        sizes = np.cumsum([len(row) if row.is_valid else 0 for row in batch.column("ids")])
+        start = 0
+        while start < batch.num_rows:
+            base = sizes[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(sizes, base + SLICE_IDS, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
+IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+IDS_DDL = "doc_id bigint, ids array<int>"
+TEXTS = pa.schema([*IDS, ("decoded", pa.binary()), ("text", pa.string())])
+TEXTS_DDL = IDS_DDL + ", decoded binary, text string"
+
+
+def encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    own = _own(path, pattern)
+    for batch in slices(batches):
+        with without_cycles():
             rows = [own.encode(text) for text in batch.column("text").to_pylist()]
-            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-            ids = pa.array(np.concatenate(rows), pa.int32())
-            yield batch_of(schema, batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), ids))
+        ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+        ids = pa.array(np.concatenate(rows), pa.int32())
+        yield batch_of(IDS, batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), ids))
+
+
+def decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    kept = process_state("bpe_tokens")
+    if path not in kept:
+        kept[path] = {rank: token for token, rank in read_ranks(path).items()}
+    for batch in id_slices(batches):
+        raw, texts = [], []
+        for row in batch.column("ids"):
+            ids = row.values.to_numpy(zero_copy_only=False) if row.is_valid else np.empty(0, np.int32)
+            decoder, parts = Decoder(kept[path]), []
+            for i in range(0, len(ids), CHUNK_IDS):
+                parts.append(decoder.feed(ids[i : i + CHUNK_IDS].tolist()))
+            raw.append(b"".join(p for p, _ in parts))
+            texts.append("".join(t for _, t in parts) + decoder.finish())
+        yield batch_of(TEXTS, batch.column("doc_id"), batch.column("ids"), raw, texts)
 
-    return documents(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids array<int>")
+
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids) of every row, in no order; no shuffle."""
+    return documents(docs, id_col, text_col).mapInArrow(lambda b: encoded(b, path, pattern), IDS_DDL)
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
+def decode(ids: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, decoded, text): the bytes of the ids, and their text in which bytes
     that are no UTF-8 are U+FFFD.  An id the vocabulary lacks fails the job."""
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary()), ("text", pa.string())]
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = process_state("bpe_tokens")
-        if path not in kept:
-            kept[path] = {rank: token for token, rank in read_ranks(path).items()}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            raw, texts = [], []
-            for row in batch.column("ids"):
-                ids = row.values.to_numpy(zero_copy_only=False) if row.is_valid else np.empty(0, np.int32)
-                decoder, parts = Decoder(kept[path]), []
-                for i in range(0, len(ids), CHUNK_IDS):
-                    parts.append(decoder.feed(ids[i : i + CHUNK_IDS].tolist()))
-                raw.append(b"".join(p for p, _ in parts))
-                texts.append("".join(t for _, t in parts) + decoder.finish())
-            yield batch_of(schema, batch.column("doc_id"), batch.column("ids"), raw, texts)
-
-    ids = F.col("ids").cast("array<int>")
-    return encoded.select(F.col("doc_id").cast("long"), ids.alias("ids")).mapInArrow(
-        run, "doc_id bigint, ids array<int>, decoded binary, text string"
-    )
+    rows = ids.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>"))
+    return rows.mapInArrow(lambda b: decoded(b, path), TEXTS_DDL)
+
+
+def encode_and_decode(
+    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """What ``decode`` makes of what ``encode`` gives, in one pass."""
+    rows = documents(docs, id_col, text_col)
+    return rows.mapInArrow(lambda b: decoded(encoded(b, path, pattern), path), TEXTS_DDL)

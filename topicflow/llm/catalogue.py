@@ -204,8 +204,7 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 @query
 def op13_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    back = bpe.decode(encoded, path)
+    back = bpe.encode_and_decode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
     numbers = F.array_join(F.col("ids").cast("array<string>"), " ")
     return back.select(
         "doc_id",

@@ -40,8 +40,8 @@ from topicflow.llm.common import batch_of, slices, stage
 
 #: Share of the rows that is in the sample.
 SAMPLE = 1 / 16
-CHUNK_BYTES = 4 << 20
-HELD_BYTES = 12 << 20
+CHUNK_BYTES = 1 << 20
+HELD_BYTES = 4 << 20
 #: Bits of the filter per proposed phrase, and the bounds of their number as powers of two.
 BITS_PER_PHRASE = 16
 FEWEST_BITS, MOST_BITS = 16, 28
