@@ -1,5 +1,7 @@
 import glob
 import json
+import os
+import re
 import time
 
 import pyarrow.parquet as pq
@@ -11,10 +13,11 @@ from topicflow.operators.evolve import SchemaConflict
 from topicflow.operators.latest import column_ddl, latest_per_key, merge_latest, overlong_strings
 from topicflow.operators.mask import Mask
 from topicflow.operators.segment import segment
-from topicflow.plans import ingest
+from topicflow.plans import ingest, log
 from topicflow.plans.ingest import Store, ingest_batch
 from topicflow.plans.options import Options
 from topicflow.plans.transform import explode_rows, transform
+from topicflow.session import checkpoint_folder
 from topicflow.sinks.parquet import create_target_sql, read_table, row_group_bytes_for, upsert_table, write_segments
 from topicflow.sources.topic import TOPIC_SCHEMA, as_topic, read_topic
 from topicflow.streaming.ingest import ingest_stream
@@ -137,7 +140,7 @@ def test_failed_publish_is_repeated_without_duplicates(spark, topic, tmp_path, m
         raise OSError("no space")
 
     with monkeypatch.context() as m:
-        m.setattr(ingest, "_write_schemas", fail)
+        m.setattr(ingest, "commit", fail)
         with pytest.raises(OSError):
             ingest_batch(spark, topic(payloads(9)), path, o)
     assert Store(spark, path).manifest(o) is None
@@ -228,6 +231,142 @@ def test_repeated_micro_batch_replaces_itself(spark, topic, tmp_path):
     assert sorted(tuple(r) for r in rows) == [(i, i // 4) for i in range(8)]
 
 
+KEYED = dict(keys="k", order_by="at", embed_metadata=False, table="stock", buckets=4)
+
+
+def stock(*rows):
+    return [json.dumps(dict(zip(("k", "at", "v"), r))) for r in rows]
+
+
+def contents(store, o, **more):
+    return {(r["k"], r["at"], r["v"]) for r in store.latest(o, **more).collect()}
+
+
+def test_keyed_batches_are_merged(spark, topic, tmp_path):
+    path, o = str(tmp_path), Options(**KEYED)
+    store = Store(spark, path)
+    ingest.publish(topic(stock(("a", 5, "x"), ("b", 1, "y"), ("a", 2, "late"))), 0, path, o)
+    assert contents(store, o) == {("a", 5, "x"), ("b", 1, "y")}
+    second = topic(stock(("a", 4, "lower"), ("b", 1, "equal"), ("c", 0, "z")), first=3)
+    for _ in range(2):  # a batch that is run again changes nothing
+        ingest.publish(second, 1, path, o)
+        assert contents(store, o) == {("a", 5, "x"), ("b", 1, "equal"), ("c", 0, "z")}
+    ingest.publish(topic(stock(("a", None, "no order"), ("d", 1, "w")), first=6), 2, path, o)
+    assert contents(store, o) == {("a", 5, "x"), ("b", 1, "equal"), ("c", 0, "z"), ("d", 1, "w")}
+    assert store.rows().count() == 8
+    with pytest.raises(ValueError, match="comes before"):
+        ingest.publish(second, 1, path, o)
+
+
+def test_a_failed_merge_is_not_seen(spark, topic, tmp_path, monkeypatch):
+    path, o = str(tmp_path), Options(**KEYED)
+    ingest.publish(topic(stock(("a", 1, "x"))), 0, path, o)
+
+    def fail(*_):
+        raise OSError("no space")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "commit", fail)
+        with pytest.raises(OSError):
+            ingest.publish(topic(stock(("a", 9, "lost")), first=1), 1, path, o)
+    assert contents(Store(spark, path), o) == {("a", 1, "x")}
+    ingest.publish(topic(stock(("b", 2, "y")), first=1), 1, path, o)
+    assert contents(Store(spark, path), o) == {("a", 1, "x"), ("b", 2, "y")}
+
+
+def test_a_merge_rewrites_touched_buckets_only(spark, topic, tmp_path):
+    path, o = str(tmp_path), Options(**KEYED)
+    ingest.publish(topic(stock(*[(f"k{i}", 1, "x") for i in range(40)])), 0, path, o)
+    table = ingest.keyed_table(spark, path, o, 0)
+    assert set(table.snapshot(0).places) == {0, 1, 2, 3}
+    for batch in range(1, 7):
+        ingest.publish(topic(stock(("k7", batch, "y")), first=39 + batch), batch, path, o)
+        places = table.snapshot(batch).places
+        assert sorted(places.values()) == [0, 0, 0, batch]
+    assert len(contents(Store(spark, path), o)) == 40
+    # superseded buckets are gone, but for those of the batches that are kept
+    assert len(glob.glob(f"{path}/tables/stock/schema=0/data/batch=*/__bucket=*")) <= 3 + log.KEPT
+    assert len(glob.glob(f"{path}/tables/stock/schema=0/snapshots/*.json")) == log.KEPT
+    with pytest.raises(ValueError, match="4 buckets"):
+        ingest.publish(topic(stock(("k7", 9, "y")), first=60), 7, path, Options(**{**KEYED, "buckets": 8}))
+
+
+def test_keyed_tables_of_a_growing_and_of_a_changed_schema(spark, topic, tmp_path):
+    path, o = str(tmp_path), Options(**KEYED)
+    ingest.publish(topic(stock(("a", 1, "x"), ("b", 1, "y"))), 0, path, o)
+    ingest.publish(topic(['{"k":"a","at":2,"more":true}'], first=2), 1, path, o)
+    store = Store(spark, path)
+    rows = {(r["k"], r["at"], r["v"], r["more"]) for r in store.latest(o).collect()}
+    assert rows == {("a", 2, None, True), ("b", 1, "y", None)}
+    ingest.publish(topic(['{"k":"a","at":"2020","v":"z"}'], first=3), 2, path, o)
+    assert contents(store, o, version=1) == {("a", "2020", "z")}
+    assert {r["k"] for r in store.latest(o, version=0).collect()} == {"a", "b"}
+
+
+def test_an_order_column_has_to_be_there(spark, topic, tmp_path):
+    with pytest.raises(ValueError, match="no order column 'at'"):
+        ingest_batch(spark, topic(['{"k":"a"}']), str(tmp_path), Options(**KEYED))
+    store = Store(spark, str(tmp_path))
+    assert store.parts() is None
+    with pytest.raises(ValueError, match="nothing is published"):
+        store.latest(Options(**KEYED))
+    ingest_batch(spark, topic(['{"k":"a"}']), str(tmp_path), Options(embed_metadata=False))
+    with pytest.raises(ValueError, match="no keyed table"):
+        store.latest(Options(**KEYED))
+
+
+def test_hot_and_null_keys(spark, topic, tmp_path):
+    path, o = str(tmp_path), Options(allow_null_keys=True, **KEYED)
+    ingest.publish(topic(stock(*[("hot", i, str(i)) for i in range(300)], (None, 1, "n"), (None, 2, "m"))), 0, path, o)
+    assert contents(Store(spark, path), o) == {("hot", 299, "299"), (None, 2, "m")}
+
+
+def test_offsets_that_come_twice_are_published_once(spark, topic, tmp_path):
+    path, o = str(tmp_path), Options(embed_metadata=False, max_records=2, continue_on_invalid=True)
+    rows = topic(payloads(7) + ["[1]"])
+    ingest.publish(rows.unionAll(rows).unionAll(rows).repartition(5), 0, path, o)
+    store = Store(spark, path)
+    assert sorted(tuple(r) for r in store.rows(True).select("v", "__segment").collect()) == [(i, i // 2) for i in range(7)]
+    assert {(r["segment"], r["rows"]) for r in store.parts().collect()} == {(0, 2), (1, 2), (2, 2), (3, 1)}
+    assert spark.read.parquet(f"{path}/dead_letters/batch=0").count() == 1
+
+
+def test_listing_stays_constant_and_nothing_staged_is_left(spark, topic, tmp_path, monkeypatch):
+    monkeypatch.setattr(log, "COMPACT_AFTER", 4)
+    path, o = str(tmp_path / "out"), Options(max_records=3, embed_metadata=False)
+    checkpoint = checkpoint_folder(spark)
+    before = set(os.listdir(checkpoint))
+    for batch in range(11):
+        ingest.publish(topic(payloads(2, 2 * batch), first=2 * batch), batch, path, o)
+        assert len(glob.glob(f"{path}/commits/*")) <= log.KEPT
+        # a base and deltas for each commit that is kept
+        assert len(glob.glob(f"{path}/manifest/*")) <= 2 + log.COMPACT_AFTER + log.KEPT
+        assert len(glob.glob(f"{path}/state/*")) <= log.KEPT
+    assert set(os.listdir(checkpoint)) == before
+    store = Store(spark, path)
+    last = store.log.last()
+    assert last.published == ((0, 10),) and last.base is not None and len(last.deltas) <= 4
+    assert {(r["segment"], r["rows"]) for r in store.manifest(o).collect()} == {(i, 3) for i in range(7)} | {(7, 1)}
+    assert sorted(r["v"] for r in store.rows().collect()) == list(range(22))
+
+
+def exchanges_with(plan, column):
+    """Exchanges in a formatted plan whose input still holds a column."""
+    parts = re.split(r"\n\n+", plan)
+    return sum(bool(re.match(r"\(\d+\) Exchange", p)) and f"{column}#" in p for p in parts)
+
+
+def test_payloads_are_shuffled_once(spark, topic, tmp_path):
+    rows = spark.read.schema("topic string, partition int, offset bigint, timestamp timestamp, value struct<v: string>, "
+                             "__bytes bigint, __row bigint").parquet(str(tmp_path))
+    o = Options(max_records=3)
+    cut = ingest._cut([(rows, 0)], o, None, False)
+    parts = cut.groupBy("topic", "partition", "segment").agg(F.lit(1))
+    for frame, count in ((cut, 0), (ingest._placed(rows, cut, parts), 1)):
+        plan = frame._sc._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
+        assert exchanges_with(plan, "value") == count
+
+
 def test_live_closing_keeps_state_across_batches(spark, topic, tmp_path):
     source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     for n, first in ((5, 0), (5, 5), (2, 8)):

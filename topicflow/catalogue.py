@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicflow.operators import decode, evolve, infer, latest, segment as seg
+from topicflow.operators import declared, decode, evolve, infer, latest, segment as seg
 from topicflow.operators.convert import decimals_to_double, lowercase_fields
 from topicflow.operators.epochs import epoch_fields, schema_epochs
 from topicflow.operators.explode import explode_container
@@ -25,7 +25,7 @@ from topicflow.operators.mask import Mask, mask
 from topicflow.operators.metadata import embed_metadata
 from topicflow.operators.replay import drop_replayed
 from topicflow.operators.validate import split_invalid, validate_keys
-from topicflow.plans.ingest import Store, ingest_batch
+from topicflow.plans.ingest import Store, ingest_batch, publish
 from topicflow.plans.options import Options
 from topicflow.plans.transform import transform
 from topicflow.session import checkpoint_folder
@@ -175,6 +175,61 @@ def decode_envelope(spark, sf_dir):
     return rows.select("offset", "value.*")
 
 
+LOGICAL = "org.apache.kafka.connect.data."
+PLAIN_FIELDS = '{"field":"id","type":"int64"},{"field":"kind","type":"string"}'
+LOGICAL_FIELDS = ",".join(
+    [
+        f'{{"field":"amount","type":"bytes","name":"{LOGICAL}Decimal","parameters":{{"scale":"2"}}}}',
+        f'{{"field":"day","type":"int32","name":"{LOGICAL}Date"}}',
+        f'{{"field":"at","type":"int32","name":"{LOGICAL}Time"}}',
+        f'{{"field":"ts","type":"int64","name":"{LOGICAL}Timestamp"}}',
+        '{"field":"origin","type":"string","default":"web"}',
+    ]
+)
+
+
+def own_schema_json():
+    """Odd events declare and bring logical types; some rows do not match what they declare."""
+    number, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    cents = F.round(F.col("value") * 100).cast("bigint") * F.when(number % 4 == 1, -1).otherwise(1)
+    amount = F.base64(F.unhex(F.lpad(F.hex(cents), 16, "0")))
+    ends = text(
+        ',"amount":"', amount, '","day":', number % 40_000 - 10_000, ',"at":', number * 7919 % 86_400_000,
+        ',"ts":', F.unix_millis("ts"), "}}",
+    )
+    plain = text('{"id":', user, ',"kind":"', kind, '"')
+    plain = F.when(number % 7 == 2, text('{"id":', user, ',"kind":', user)).otherwise(plain)
+    plain = F.when(number % 7 == 4, text('{"id":', user)).otherwise(plain)
+    plain = F.when(number % 7 == 6, text('{"id":"', user, '","kind":"', kind, '"')).otherwise(plain)
+    small = F.concat(F.lit('{"schema":{"type":"struct","fields":[' + PLAIN_FIELDS + ']},"payload":'), plain, F.lit("}}"))
+    large = F.concat(
+        F.lit('{"schema":{"type":"struct","fields":[' + PLAIN_FIELDS + "," + LOGICAL_FIELDS + ']},"payload":'), plain, ends
+    )
+    value = F.when(number % 2 == 1, large).otherwise(small)
+    return F.when(number % 11 == 5, F.concat(F.lit('{"payload":'), plain, F.lit("}}"))).otherwise(value)
+
+
+@query(TOPIC_SQL + """
+, p AS (SELECT *, CASE WHEN "offset" % 11 = 5 THEN 'payload has no schema and payload fields'
+    WHEN "offset" % 7 = 2 THEN 'not a string: kind' WHEN "offset" % 7 = 4 THEN 'required: kind'
+    WHEN "offset" % 7 = 6 THEN 'not an int64: id' END AS reason FROM t),
+q AS (SELECT *, reason IS NULL AS ok, reason IS NULL AND "offset" % 2 = 1 AS large FROM p)
+SELECT "offset", reason, CASE WHEN ok THEN user_id END AS id, CASE WHEN ok THEN topic END AS kind,
+  CASE WHEN large THEN CAST(CAST(round(value * 100) * CASE "offset" % 4 WHEN 1 THEN -1 ELSE 1 END AS DECIMAL(18, 0))
+    * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(38, 2))::VARCHAR END AS amount,
+  CASE WHEN large THEN CAST(DATE '1970-01-01' + CAST("offset" % 40000 - 10000 AS INTEGER) AS DATE)::VARCHAR END AS day,
+  CASE WHEN large THEN CAST("offset" * 7919 % 86400000 AS INTEGER) END AS at, CASE WHEN large THEN ms END AS ts,
+  CASE WHEN large THEN 'web' END AS origin FROM q""")
+def declared_own_schema(spark, sf_dir):
+    """Every row against the schema it brings, logical types and a default included."""
+    rows = declared.decode_declared(events_topic(spark, sf_dir, own_schema_json()))
+    return rows.select(
+        "offset", F.get("_invalid", F.lit(0)).alias("reason"), "value.id", "value.kind",
+        F.col("value.amount").cast("string").alias("amount"), F.col("value.day").cast("string").alias("day"),
+        "value.at", F.unix_millis("value.ts").alias("ts"), "value.origin",
+    )
+
+
 @query("""
 SELECT l_orderkey AS "offset", CAST(l_linenumber AS VARCHAR) AS line, CAST(l_partkey AS VARCHAR) AS part_key,
        l_returnflag AS part_flag, l_linestatus AS status,
@@ -742,6 +797,31 @@ def ingest_batch_rows(spark, sf_dir):
     return ingest_batch(spark, rows, path, flow_options()).rows(lineage=True)
 
 
+RANKED_SQL = """
+, r AS (SELECT *, "offset" * 7919 % 101 AS rank,
+          CASE WHEN "offset" <= (SELECT max("offset") // 2 FROM t) THEN 0 ELSE 1 END AS batch FROM t)
+SELECT user_id, rank, topic AS kind, "offset" AS number FROM r
+QUALIFY row_number() OVER (PARTITION BY user_id
+  ORDER BY rank DESC, batch DESC, topic DESC, "partition" DESC, "offset" DESC) = 1"""
+
+
+@query(TOPIC_SQL + RANKED_SQL)
+def ingest_keyed_rows(spark, sf_dir):
+    """Two batches, the second one twice, into one row per user: the highest rank stays, whenever it came."""
+    number = F.col("event_id")
+    value = text(
+        '{"user_id":', F.col("user_id"), ',"rank":', number * 7919 % 101, ',"kind":"', F.col("event_type"),
+        '","number":', number, "}",
+    )
+    rows, path = events_topic(spark, sf_dir, value), scratch(spark, "merged")
+    half = rows.agg(F.expr("max(offset) div 2")).first()[0]
+    options = Options(keys="user_id", order_by="rank", embed_metadata=False, table="users", buckets=16)
+    publish(rows.filter(F.col("offset") <= half), 0, path, options)
+    for _ in range(2):
+        publish(rows.filter(F.col("offset") > half), 1, path, options)
+    return Store(spark, path).latest(options)
+
+
 RETYPED_SQL = 'CASE WHEN "offset" // 500 % 3 = 1 THEN 1 ELSE 0 END'
 
 

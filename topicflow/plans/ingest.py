@@ -4,24 +4,27 @@ Layout below one root folder, every part keyed by the batch that wrote it:
 
     data/__batch=N/__schema=V/__topic=…/__partition=…/__segment=…   records and helpers
     dead_letters/batch=N                               original rows and reasons
-    state/batch=N                                      last segment per topic-partition
-    schema/batch=N                                     record schemas evolved so far
-    manifest/batch=N                                   one row per segment part
+    tables/NAME/schema=V                               keyed table, see ``sinks/keyed.py``
+    commits, manifest, state                           see ``plans/log.py``
 
 A payload whose fields change type starts another version of the record schema;
 each version is a table of its own, and a segment never holds two.
 
-A batch is published by its manifest, which is written last.  A batch that
-failed on the way is written again under the same number and replaces itself.
+A batch is published by its commit, which is written last.  A batch that failed on the
+way is written again under the same number and replaces itself.  What a batch stages is
+deleted at its end.
+
+The source is read once.  The payload is shuffled once, by topic, partition and block of
+offsets, where copies of an offset are dropped and rows get their segments on the way into
+the files; what the cuts need is a narrow table of its own.
 """
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,13 +32,15 @@ from topicflow.operators.decode import drop_tombstones
 from topicflow.operators.epochs import schema_epochs, split_epochs
 from topicflow.operators.evolve import SchemaConflict, merge_schemas
 from topicflow.operators.latest import latest_per_key
-from topicflow.operators.ordered import BLOCK, fill_from_marks, with_block
+from topicflow.operators.ordered import BLOCK, BLOCK_BITS, block_of
 from topicflow.operators.replay import drop_replayed
 from topicflow.operators.segment import close_manifest, committed_offsets, payload_size, segment
+from topicflow.plans.log import Commit, CommitLog, merged_parts
 from topicflow.plans.options import Options
 from topicflow.plans.transform import RAW, VALUE, explode_rows, inference, split_rows, transform_rows
-from topicflow.records import INVALID, TOPIC_PARTITION, measured, quote
-from topicflow.session import materialise
+from topicflow.records import ENVELOPE, INVALID, TOPIC_PARTITION, quote
+from topicflow.session import materialise, staging
+from topicflow.sinks.keyed import KeyedTable
 from topicflow.sinks.parquet import parquet_writer, row_group_bytes_for, write_dead_letters
 
 KEYS = list(TOPIC_PARTITION)
@@ -48,32 +53,8 @@ PLACE = (
     .add("__segment", T.LongType())
 )
 COUNTED = T.StructType([T.StructField(n, T.LongType()) for n in ("__offset", "__bytes", "__ts")])
-MANIFEST = (
-    "topic string, partition int, segment bigint, first_offset bigint, last_offset bigint, "
-    "bytes bigint, rows bigint, last_ts bigint, schema int, sealed boolean"
-)
 NOTHING = "__nothing"
-
-
-def _folder(spark: SparkSession, path: str):
-    """(Hadoop file system, path) so that any shared storage works."""
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def finished_batches(spark: SparkSession, path: str, part: str = "manifest") -> list[int]:
-    """Numbers of the batches whose ``part`` was written completely."""
-    fs, where = _folder(spark, f"{path}/{part}")
-    if not fs.exists(where):
-        return []
-    found = []
-    for status in fs.listStatus(where):
-        name = status.getPath().getName()
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("batch=") and fs.exists(done):
-            found.append(int(name.removeprefix("batch=")))
-    return sorted(found)
+ROW = "__row"
 
 
 @dataclass(frozen=True)
@@ -83,28 +64,14 @@ class Store:
     spark: SparkSession
     path: str
 
-    def before(self, batch: int | None = None) -> int | None:
-        done = [b for b in finished_batches(self.spark, self.path) if batch is None or b < batch]
-        return done[-1] if done else None
-
-    def state(self, batch: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/state/batch={batch}")
-
-    def versions(self, batch: int) -> tuple[list[T.StructType], list[T.StructType]]:
-        """(transformed, written) record schema of every version."""
-        text = self.spark.read.parquet(f"{self.path}/schema/batch={batch}").first()["json"]
-        both = json.loads(text)
-        return tuple([T.StructType.fromJson(s) for s in both[k]] for k in ("records", "written"))
+    @property
+    def log(self) -> CommitLog:
+        return CommitLog(self.spark, self.path)
 
     def parts(self) -> DataFrame | None:
         """Segment parts of all published batches."""
-        done = finished_batches(self.spark, self.path)
-        if not done:
-            return None
-        reader = self.spark.read.option("basePath", f"{self.path}/manifest").schema(
-            MANIFEST + ", batch bigint"
-        )
-        return reader.parquet(*[f"{self.path}/manifest/batch={b}" for b in done])
+        last = self.log.last()
+        return None if last is None else self.log.parts(last)
 
     def manifest(self, options: Options, now: Column | None = None) -> DataFrame | None:
         """One row per segment; ``closed`` follows from what came after it and,
@@ -112,15 +79,7 @@ class Store:
         parts = self.parts()
         if parts is None:
             return None
-        whole = parts.groupBy(*KEYS, "segment").agg(
-            F.min("first_offset").alias("first_offset"),
-            F.max("last_offset").alias("last_offset"),
-            F.sum("bytes").alias("bytes"),
-            F.sum("rows").alias("rows"),
-            F.max("last_ts").alias("last_ts"),
-            F.max("schema").alias("schema"),
-            F.bool_or("sealed").alias("__sealed"),
-        )
+        whole = merged_parts(parts).withColumnRenamed("sealed", "__sealed")
         found = close_manifest(whole, options.max_records, options.max_bytes, options.idle, now)
         return found.withColumn("closed", F.col("closed") | F.col("__sealed")).drop("__sealed")
 
@@ -130,8 +89,15 @@ class Store:
 
     def schemas(self) -> list[T.StructType]:
         """Record schema of every version, in the order in which they began."""
-        last = self.before()
-        return [] if last is None else self.versions(last)[1]
+        last = self.log.last()
+        return [] if last is None else list(last.written)
+
+    def _version(self, last: Commit | None, version: int | None) -> int:
+        if last is None:
+            raise ValueError(f"nothing is published under {self.path}")
+        if version is None and len(last.written) > 1:
+            raise ValueError(f"the records have {len(last.written)} schemas: name a version")
+        return range(len(last.written))[version or 0]
 
     def rows(self, lineage: bool = False, version: int | None = None) -> DataFrame:
         """All published records, unfinished batches left out; ``lineage`` adds
@@ -139,33 +105,34 @@ class Store:
 
         ``version`` picks one of ``schemas()`` and is needed where there are
         several, since one frame cannot hold them all."""
-        parts = self.parts()
-        if parts is None:
-            raise ValueError(f"nothing is published under {self.path}")
-        done = finished_batches(self.spark, self.path)
-        written = self.versions(done[-1])[1]
-        if version is None and len(written) > 1:
-            raise ValueError(f"the records have {len(written)} schemas: name a version")
-        version = range(len(written))[version or 0]
-        record = written[version]
+        last = self.log.last()
+        version = self._version(last, version)
+        record = last.written[version]
         schema = T.StructType([*record, *COUNTED, *PLACE]).add("__batch", T.LongType())
         df = self.spark.read.schema(schema).parquet(f"{self.path}/data")
-        df = df.filter(F.col("__batch").isin(done) & (F.col("__schema") == version))
-        names = ("__topic", "__partition", "__segment")
-        listed = parts.select(
-            F.col("batch").alias("__batch"), *[F.col(n[2:]).alias(n) for n in names]
-        )
-        df = df.join(measured(listed), ["__batch", *names], "left_semi")
-        columns = [f.name for f in record] + ([*names, "__offset"] if lineage else [])
-        return df.select(*[quote(n) for n in columns])
+        batch = F.col("__batch")
+        done = reduce(Column.__or__, [batch.between(a, b) for a, b in last.published])
+        df = df.filter(done & (F.col("__schema") == version))
+        names = ("__topic", "__partition", "__segment", "__offset") if lineage else ()
+        return df.select(*[quote(n) for n in (*[f.name for f in record], *names)])
 
+    def latest(self, options: Options, version: int | None = None) -> DataFrame:
+        """The keyed table: of the published records the one with the highest order per key."""
+        last = self.log.last()
+        version = self._version(last, version)
+        if version not in last.tables:
+            raise ValueError("no keyed table is published: the options need keys")
+        table = keyed_table(self.spark, self.path, options, version)
+        return table.rows(last.tables[version]).select(*[quote(f.name) for f in last.written[version]])
+
+
+TIEBREAK = ("__batch", "__topic", "__partition", "__offset")
 
-def _write_schemas(spark: SparkSession, records, written, path: str) -> None:
-    text = json.dumps(
-        {"records": [s.jsonValue() for s in records], "written": [s.jsonValue() for s in written]}
-    )
-    frame = spark.range(1).select(F.lit(text).alias("json"))
-    frame.coalesce(1).write.mode("overwrite").parquet(path)
+
+def keyed_table(spark: SparkSession, path: str, options: Options, version: int) -> KeyedTable:
+    """Of rows with equal order the one of the later batch wins, then of the higher offset."""
+    folder = f"{path}/tables/{options.table}/schema={version}"
+    return KeyedTable(spark, folder, options.keys, options.order_column, TIEBREAK)
 
 
 def _versioned(
@@ -185,7 +152,8 @@ def _versioned(
         if options.format != "json" or options.schema is not None:
             raise
     frames, versions = [], list(versions)
-    staged = materialise(schema_epochs(drop_tombstones(df)))
+    # epochs want each offset once
+    staged = materialise(schema_epochs(drop_tombstones(drop_replayed(df))))
     for inferred, part in split_epochs(staged, **inference(options)):
         for version in reversed(range(len(versions))):
             try:
@@ -214,34 +182,54 @@ def publish(
 
     ``keep_open`` lets the last segment of a topic-partition go on in the next
     batch.  Otherwise rows of segments still open are not published and have to
-    be read again, unless ``flush`` closes them.
+    be read again, unless ``flush`` closes them.  Only the last batch can be
+    repeated.
     """
     spark = df.sparkSession
-    store = Store(spark, path)
-    last = store.before(batch)
-    opened, versions, written = None, [], []
-    if last is not None:
-        opened, (versions, written) = store.state(last), store.versions(last)
-        df = drop_replayed(df, opened.select(*KEYS, F.col("last_offset").alias("offset")))
-    else:
-        df = drop_replayed(df)
-
-    frames, versions = _versioned(df, options, versions)
+    with staging(spark):
+        _publish(spark, df, batch, path, options, keep_open, flush)
+
+
+def _publish(
+    spark: SparkSession, df: DataFrame, batch: int, path: str, options: Options, keep_open: bool, flush: bool
+) -> None:
+    log = CommitLog(spark, path)
+    last = log.before(batch)
+    opened = None if last is None else log.state(last)
+    source = materialise(_beyond(df.select(*ENVELOPE, VALUE), opened))
+    frames, versions = _versioned(source, options, [] if last is None else list(last.records))
     # payloads are decoded here once; what follows reads the columns it needs
     staged = [(materialise(_counted(rows)), version) for rows, version in frames]
     split = [(*split_rows(rows, options), version) for rows, version in staged]
-    dead = reduce(DataFrame.unionAll, [d.drop("__bytes") for _, d, _ in split])
-    write_dead_letters(dead, f"{path}/dead_letters/batch={batch}", "overwrite")
+    dead = reduce(DataFrame.unionAll, [d.drop("__bytes", ROW) for _, d, _ in split])
+    write_dead_letters(dead.dropDuplicates([*KEYS, "offset"]), f"{path}/dead_letters/batch={batch}", "overwrite")
 
-    data = f"{path}/data/__batch={batch}"
     valid = [(v, version) for v, _, version in split]
-    written = [*written, *[T.StructType()] * (len(versions) - len(written))]
+    cut = materialise(_cut(valid, options, opened, len(versions) > 1))
+    parts = cut.groupBy(*KEYS, "segment").agg(
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+        F.sum("__bytes").alias("bytes"),
+        F.count("*").alias("rows"),
+        F.max("__ts").alias("last_ts"),
+        F.max("__number").alias("schema"),
+    )
+    if not keep_open and not flush:
+        closed = close_manifest(parts, options.max_records, options.max_bytes, options.idle)
+        parts = closed.filter("closed").drop("closed", "file_name")
+    parts = parts.withColumn("sealed", F.lit(not keep_open)).select(*_manifest_columns())
+    parts = log.write_parts(parts, batch)
+
+    data = f"{path}/data/__batch={batch}"
+    written = [] if last is None else list(last.written)
+    written += [T.StructType()] * (len(versions) - len(written))
     size = row_group_bytes_for(options.row_group_bytes, options.max_bytes)
-    mode = "overwrite"
-    for rows, version in _segmented(valid, options, opened, len(versions) > 1):
-        out = explode_rows(rows, options)
+    mode, tables = "overwrite", {} if last is None else dict(last.tables)
+    for rows, version in valid:
+        out = explode_rows(_placed(rows, cut, parts), options)
         record = T.StructType([f for f in out.schema[VALUE].dataType if f.name != NOTHING])
         written[version] = merge_schemas(written[version], record)
+        _check_order(options, written[version])
         out = out.select(
             *[F.col(f"{VALUE}.{quote(f.name)}") for f in record],
             F.col("offset").alias("__offset"), "__bytes", F.unix_millis("timestamp").alias("__ts"),
@@ -249,74 +237,132 @@ def publish(
         )
         parquet_writer(out, mode, size).partitionBy(*PLACE.names).parquet(data)
         mode = "append"
+    if options.keys:
+        for version in sorted({v for _, v in valid}):
+            if written[version]:
+                _merge(spark, data, batch, path, options, version, written[version], tables)
+    log.write_state(_state(parts, opened, keep_open), batch)
+    commit(log, last, batch, versions, written, tables)
+    for version, at in tables.items():
+        known = {c.tables[version] for c in log.kept() if version in c.tables}
+        keyed_table(spark, path, options, version).forget({at, *known})
+
+
+def commit(log: CommitLog, last: Commit | None, batch: int, versions, written, tables: dict[int, int]) -> None:
+    log.commit(last, batch, versions, written, tables)
+
+
+def _beyond(df: DataFrame, opened: DataFrame | None) -> DataFrame:
+    """Rows past the last offset of their topic-partition; the state is small and written."""
+    if opened is None:
+        return df
+    known = opened.select(*KEYS, F.col("last_offset").alias("__last"))
+    new = F.col("__last").isNull() | (F.col("offset") > F.col("__last"))
+    return df.join(known, KEYS, "left").filter(new).select(*df.columns)
+
+
+def _check_order(options: Options, record: T.StructType) -> None:
+    if options.keys and record and options.order_column not in record.names:
+        raise ValueError(f"the records have no order column {options.order_column!r}")
 
-    found = spark.read.schema(T.StructType([*COUNTED, *PLACE])).parquet(data)
-    if options.explode:
-        # a segment counts containers, not the rows they were turned into
-        found = found.dropDuplicates(["__topic", "__partition", "__offset"])
-    parts = found.groupBy(*[F.col(n).alias(n[2:]) for n in PLACE.names[1:]]).agg(
-        F.min("__offset").alias("first_offset"),
-        F.max("__offset").alias("last_offset"),
-        F.sum("__bytes").alias("bytes"),
-        F.count("*").alias("rows"),
-        F.max("__ts").alias("last_ts"),
-        F.max("__schema").alias("schema"),
-    )
-    if not keep_open and not flush:
-        closed = close_manifest(parts, options.max_records, options.max_bytes, options.idle)
-        parts = closed.filter("closed").drop("closed", "file_name")
-    parts = materialise(parts.withColumn("sealed", F.lit(not keep_open)))
-    _write_state(parts, opened, f"{path}/state/batch={batch}", keep_open)
-    _write_schemas(spark, versions, written, f"{path}/schema/batch={batch}")
-    parts.write.mode("overwrite").parquet(f"{path}/manifest/batch={batch}")
+
+def _merge(
+    spark: SparkSession, data: str, batch: int, path: str, options: Options, version: int,
+    record: T.StructType, tables: dict[int, int],
+) -> None:
+    """Merge what the batch wrote into the keyed table of a version."""
+    schema = T.StructType([*record, *COUNTED, *PLACE])
+    new = spark.read.schema(schema).parquet(data).filter(F.col("__schema") == version)
+    new = new.withColumn("__batch", F.lit(batch).cast("bigint"))
+    new = new.select(*[quote(f.name) for f in record], *TIEBREAK)
+    table = keyed_table(spark, path, options, version)
+    table.merge(new, batch, tables.get(version), options.buckets)
+    tables[version] = batch
+
+
+def _manifest_columns() -> list[str]:
+    return [
+        *KEYS, "segment", "first_offset", "last_offset", "bytes", "rows", "last_ts", "schema", "sealed"
+    ]
 
 
 def _counted(rows: DataFrame) -> DataFrame:
-    """Add the payload size; keep the original payload of invalid rows only."""
+    """Add the payload size and a row number; keep the original payload of invalid rows only."""
     if not rows.schema[VALUE].dataType.fields:
         # no readable record at all, and Parquet has no empty structs
         rows = rows.withColumn(VALUE, F.struct(F.lit(None).cast("string").alias(NOTHING)))
     raw = F.when(F.size(INVALID) > 0, F.col(RAW))
-    return rows.withColumns({RAW: raw, "__bytes": payload_size(rows, VALUE)})
+    return rows.withColumns(
+        {RAW: raw, "__bytes": payload_size(rows, VALUE), ROW: F.monotonically_increasing_id()}
+    )
 
 
-def _segmented(
+def _cut(
     frames: list[tuple[DataFrame, int]], options: Options, opened: DataFrame | None, by_schema: bool
-) -> list[tuple[DataFrame, int]]:
-    """Add ``segment`` to every frame, numbered over all of them together."""
+) -> DataFrame:
+    """Every offset once, without its payload, and its ``segment``; of copies the first row stays.
+
+    Segments are numbered over the frames of all versions together.
+    """
     rules = (options.max_records, options.max_bytes, options.idle)
-    watched = "__schema" if by_schema else None
-    if not any(rules) and not by_schema:
-        ((rows, version),) = frames
-        rows = rows.withColumn("segment", F.lit(0).cast("bigint"))
-        if opened is not None:
-            following = measured(opened.select(*KEYS, F.col("segment").alias("__next")))
-            rows = rows.join(following, KEYS, "left")
-            rows = rows.withColumn("segment", F.coalesce("__next", "segment")).drop("__next")
-        return [(rows, version)]
-    if len(frames) == 1:
-        ((rows, version),) = frames
-        rows = rows.withColumn("__schema", F.lit(str(version)))
-        rows = segment(rows, *rules, watched, F.col("__bytes"), opened)
-        return [(rows.drop("__schema"), version)]
     narrow = reduce(
         DataFrame.unionAll,
         [
-            rows.select(*KEYS, "offset", "timestamp", "__bytes", F.lit(str(v)).alias("__schema"))
+            rows.select(
+                *KEYS, "offset", ROW,
+                F.struct("timestamp", "__bytes", F.lit(v).alias("__number")).alias("row"),
+            )
             for rows, v in frames
         ],
     )
-    cut = segment(narrow, *rules, watched, F.col("__bytes"), opened)
-    marks = materialise(
-        with_block(cut, "offset").groupBy(*KEYS, BLOCK, "segment").agg(F.min("offset").alias("offset"))
-    ).select(*KEYS, "offset", "segment")
-    return [
-        (fill_from_marks(rows, marks, KEYS, "offset", ["segment"]), version)
-        for rows, version in frames
-    ]
-
-
-def _write_state(parts: DataFrame, opened: DataFrame | None, path: str, keep_open: bool) -> None:
+    narrow = narrow.groupBy(*KEYS, "offset").agg(F.min_by("row", ROW).alias("row"))
+    narrow = narrow.select(*KEYS, "offset", "row.*")
+    ts = F.unix_millis("timestamp").alias("__ts")
+    if not any(rules) and not by_schema:
+        if opened is None:
+            return narrow.select("*", ts, F.lit(0).cast("bigint").alias("segment"))
+        following = opened.select(*KEYS, F.col("segment").alias("__next"))
+        narrow = narrow.join(following, KEYS, "left")
+        return narrow.select("*", ts, F.coalesce("__next", F.lit(0)).alias("segment")).drop("__next")
+    narrow = materialise(narrow.withColumn("__version", F.col("__number").cast("string")))
+    watched = "__version" if by_schema else None
+    return segment(narrow, *rules, watched, F.col("__bytes"), opened).select("*", ts)
+
+
+def _placed(rows: DataFrame, cut: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows with their published segment; the one place where payloads are shuffled.
+
+    Each block of a topic-partition gets the marks at which its segments begin.  Within the
+    block, in the order of offsets, a row takes the last mark before it, and of rows with
+    one offset the first stays.
+    """
+    block = block_of("offset", BLOCK_BITS).alias(BLOCK)
+    begins = cut.groupBy(*KEYS, block, "segment").agg(F.min("offset").alias("offset"))
+    published = parts.select(*KEYS, "segment", F.lit(True).alias("__out"))
+    begins = begins.join(published, [*KEYS, "segment"], "left")
+    names = rows.columns
+    filler = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema}
+    marks = begins.select(
+        *[F.col(n) if n in (*KEYS, "offset") else filler[n] for n in names],
+        BLOCK, "segment", F.coalesce("__out", F.lit(False)).alias("__out"), F.lit(0).alias("__rank"),
+    )
+    nothing = (F.lit(None).cast("bigint").alias("segment"), F.lit(None).cast("boolean").alias("__out"))
+    both = rows.select(*names, block, *nothing, F.lit(1).alias("__rank")).unionAll(marks)
+    keys = [*KEYS, BLOCK]
+    upto = Window.partitionBy(*keys).orderBy("offset", "__rank", ROW)
+    upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    copies = Window.partitionBy(*keys, "offset", "__rank").orderBy(ROW)
+    filled = both.withColumns(
+        {
+            "segment": F.last("segment", ignorenulls=True).over(upto),
+            "__out": F.last("__out", ignorenulls=True).over(upto),
+        }
+    ).withColumn("__copy", F.row_number().over(copies))
+    kept = filled.filter((F.col("__rank") == 1) & (F.col("__copy") == 1) & F.col("__out"))
+    return kept.select(*names, "segment").drop(ROW)
+
+
+def _state(parts: DataFrame, opened: DataFrame | None, keep_open: bool) -> DataFrame:
     """Last segment per topic-partition: where the next batch goes on."""
     version = F.col("schema").cast("string").alias("last_schema")
     now = parts.select(*KEYS, "segment", "rows", "bytes", "last_ts", "last_offset", version)
@@ -345,7 +391,7 @@ def _write_state(parts: DataFrame, opened: DataFrame | None, path: str, keep_ope
                 "last_schema": F.lit(None).cast("string"),
             }
         )
-    newest.coalesce(1).write.mode("overwrite").parquet(path)
+    return newest
 
 
 def ingest_batch(
@@ -356,7 +402,7 @@ def ingest_batch(
     Running it again on the same or a longer topic publishes only what is new.
     """
     store = Store(spark, path)
-    last = store.before()
+    last = store.log.last()
     ruled = any((options.max_records, options.max_bytes, options.idle))
-    publish(df, 0 if last is None else last + 1, path, options, keep_open=False, flush=flush or not ruled)
+    publish(df, 0 if last is None else last.batch + 1, path, options, keep_open=False, flush=flush or not ruled)
     return store

@@ -33,6 +33,8 @@ class Options:
     keys: tuple[str, ...] = ()
     allow_null_keys: bool = False
     order_by: str | None = None
+    # keyed tables are rewritten by bucket: about as many as fit a task's memory each
+    buckets: int = 64
     # invalid rows
     continue_on_invalid: bool = False
     # segments
@@ -65,6 +67,8 @@ class Options:
             raise ValueError("max_records must be greater than 0")
         if self.idle is not None and millis(self.idle) <= 1000:
             raise ValueError("idle must be more than 1000 ms")
+        if not 1 <= self.buckets <= 100_000:
+            raise ValueError("buckets must be between 1 and 100000")
         if self.row_group_bytes is not None and self.row_group_bytes < 1:
             raise ValueError("row_group_bytes must be at least 1")
 

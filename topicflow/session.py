@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +55,37 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path), so that any shared storage works."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, where = file_system(spark, path)
+    fs.delete(where, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialise`` writes inside are deleted at the end.
+
+    For work that ends in files of its own; frames that read staged tables must
+    not leave the block.
+    """
+    folders: list[str] = []
+    before = _staged.set(folders)
+    try:
+        yield
+    finally:
+        _staged.reset(before)
+        for folder in folders:
+            delete_folder(spark, folder)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the frame to the checkpoint folder and read it back.
 
@@ -59,5 +93,8 @@ def materialise(df: DataFrame) -> DataFrame:
     checkpoint it runs the plan once, not twice.
     """
     path = f"{checkpoint_folder(df.sparkSession)}/topicflow-{uuid.uuid4().hex}"
+    folders = _staged.get()
+    if folders is not None:
+        folders.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
