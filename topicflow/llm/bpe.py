@@ -37,15 +37,16 @@ from pyspark.sql import functions as F
 from topicflow.llm.common import batch_of, documents, slices
 from topicflow.llm.tokens import leading_space_pieces, process_state
 
-KEPT_STATES = 150_000
-KEPT_PAIRS = 300_000
+KEPT_STATES = 300_000
+KEPT_PAIRS = 500_000
 #: Encoded pieces of text that a process remembers: at most twice so many.
-KEPT_PIECES = 150_000
+KEPT_PIECES = 300_000
 KEPT_LENGTH = 48
 CHUNK_IDS = 1 << 16
 SLICE_IDS = 1 << 19
 NO_TOKEN = -1
 SINGLE = [bytes([b]) for b in range(256)]
+STOPS = tuple(".,;:!?")
 
 # Letters and numbers of the regex library's Unicode version that the tiktoken
 # library's older one does not have; there they are neither.
@@ -231,12 +232,23 @@ class Encoder:
         return [text[a:b] for a, b in (m.span() for m in self.scan(self.newer.sub("\ue000", text)))]
 
     def piece(self, text: str) -> bytes:
+        """Ids of a piece, remembered or made now.
+
+        Letters are one match, with or without a space before them, and a stop or the like
+        after them is another, so most pieces need no pattern.
+        """
         ids = self.older.get(text)
         if ids is None:
-            out: list[int] = []
-            for match in self.split(text):
-                out += self.machine.encode(match.encode())
-            ids = array("i", out).tobytes()
+            core = text[1:] if text[:1] == " " else text
+            if core.isalpha():
+                ids = array("i", self.machine.encode(text.encode())).tobytes()
+            elif core[-1:] in STOPS and core[:-1].isalpha():
+                ids = (self.recent.get(text[:-1]) or self.piece(text[:-1])) + self.piece(core[-1])
+            else:
+                out: list[int] = []
+                for match in self.split(text):
+                    out += self.machine.encode(match.encode())
+                ids = array("i", out).tobytes()
         if len(text) <= KEPT_LENGTH:
             if len(self.recent) >= KEPT_PIECES:
                 self.older, self.recent = self.recent, {}

@@ -5,7 +5,9 @@ with each run of ASCII characters other than letters as one space; they are
 hashed to BUCKETS rows of an embedding.  A text is the mean of its rows, then a
 linear layer and softmax.  Stochastic gradient descent in numpy trains on a
 bounded sample of labelled rows (``sample`` texts, shared out evenly among the
-languages, in each those of the smallest id hashes); a part of it, unseen by training,
+languages, in each those of the smallest id hashes).  Of a table with more than a tenth
+of ``sample`` languages the most frequent so many are learned, 300 unless ``sample`` is
+raised; documents in others get one of these or are rejected.  A part of it, unseen by training,
 sets the temperature that calibrates the score and the score under which a
 prediction is marked as rejected.  As the mean is linear, texts are scored with
 the product of both layers, one row of logits per bucket.

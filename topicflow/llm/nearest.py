@@ -8,7 +8,8 @@ some slots one up or down, in the order of the sum of squared distances from its
 projections to the slots' borders, which estimates how likely they hold a near
 vector.  The number of probes is fitted on a bounded sample: the fewest that find
 ``recall`` of the true neighbours among the sample; in the whole table neighbours
-are nearer than in a sample.
+are nearer than in a sample.  More than 4,096 probes a table are never made; where the
+sample wants more, recall stays below ``recall``.
 
 Every vector is indexed.  Equal vectors are one entry with their smallest ids (as
 many as can ever be among a query's neighbours).  Buckets above CHUNK entries are

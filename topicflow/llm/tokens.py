@@ -4,6 +4,10 @@ Both vocabularies split a text at spaces before they merge anything, so the ids
 of a text are the ids of its pieces, one after the other.  Pieces repeat, hence
 each process keeps the ids of those it has met lately.  A plain word goes to the
 library's BPE model itself, anything else through its whole pipeline.
+
+The library is told that strings of special tokens in a text are ordinary text, as the
+vocabularies' own description does; a plain call would give them the special id.  A lone
+surrogate cannot occur in a string of Spark's.
 """
 
 from __future__ import annotations

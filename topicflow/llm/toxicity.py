@@ -3,14 +3,16 @@
 1. A bounded sample of labelled training rows (``sample`` of each label, those of
    the smallest id hashes) gives for each word, and each word beginning of four to
    seven bytes, the number of texts of either label that have it.
-2. The strongest become lexicon voters (words) and pattern voters (beginnings);
+   Texts of the sample with the same set of words count once, all without words too.
+2. The strongest VOTERS become lexicon voters (words) and pattern voters (beginnings);
    a few that shout or insult by form are fixed patterns.  A voter says toxic or
    abstains.
 3. The label model takes the votes alone: expectation maximisation finds how
    often each voter fires on toxic and on other texts.  Voters that fire together
    beyond what the classes explain are correlated; each is weighted by one over
    the number that it goes along with.
-4. A linear classifier over words and beginnings learns the model's posteriors.
+4. A linear classifier over the FEATURES strongest words and beginnings learns the
+   model's posteriors; weaker features have no part in either model.
 
 Labels only choose the voters and the starting point of step 3.  Scores read the
 text alone.  Null and empty texts score what the classifier's bias says.  Without
