@@ -41,7 +41,8 @@ from topicflow.llm.common import batch_of, slices, stage
 #: Share of the rows that is in the sample.
 SAMPLE = 1 / 16
 CHUNK_BYTES = 1 << 20
-HELD_BYTES = 4 << 20
+HELD_BYTES = 3 << 20
+ROWS = 1 << 16
 #: Bits of the filter per proposed phrase, and the bounds of their number as powers of two.
 BITS_PER_PHRASE = 16
 FEWEST_BITS, MOST_BITS = 16, 28
@@ -52,7 +53,6 @@ TABLE = bytes(
     b + 32 if 65 <= b <= 90 else END if b in b".,;:!?" or 10 <= b <= 13 else b for b in range(256)
 )
 GAP = re.compile(rb"[ \t\xff]")
-PHRASE = "lang string, phrase string"
 
 
 def words_of(texts: Iterable[str]) -> bytes:
@@ -177,19 +177,17 @@ def counted(docs: DataFrame, longest: int, now: Filter | None, done: Filter | No
     """(lang, phrase, words, n) over all rows, see ``count_chunk``."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((now, done))
-    schema = pa.schema(
-        [("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())]
-    )
+    # one column of phrase, tab and language keeps the rows that are added up small; a phrase has no tab
+    schema = pa.schema([("key", pa.string()), ("n", pa.int64())])
 
     def rows(lang: str, texts: list[str]) -> Iterator[pa.RecordBatch]:
         now, done = shared.value
+        end = b"\t" + lang.encode()
         for words, seen in chunks(words_of(texts), longest - 1):
             for phrases, times in count_chunk(words, seen, lang, longest, now, done):
-                if len(phrases):
-                    text = pa.array(phrases, pa.binary()).cast(pa.string())
-                    size = phrases[0].count(b" ") + 1 if phrases[0] else 0
-                    same = pa.array(np.full(len(phrases), size, np.int32))
-                    yield batch_of(schema, pa.array([lang] * len(phrases)), text, same, times)
+                for i in range(0, len(phrases), ROWS):
+                    keys = [p + end for p in phrases[i : i + ROWS]]
+                    yield batch_of(schema, pa.array(keys, pa.binary()).cast(pa.string()), times[i : i + ROWS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: defaultdict[str, list[str]] = defaultdict(list)
@@ -206,8 +204,11 @@ def counted(docs: DataFrame, longest: int, now: Filter | None, done: Filter | No
         for lang, texts in held.items():
             yield from rows(lang, texts)
 
-    found = docs.mapInArrow(run, PHRASE + ", words int, n bigint")
-    return found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
+    found = docs.mapInArrow(run, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    phrase = F.substring_index("key", "\t", 1)
+    size = F.when(phrase == "", 0).otherwise(F.length(phrase) - F.length(F.replace(phrase, F.lit(" "))) + 1)
+    lang = F.substring("key", F.length(phrase) + 2, F.length("key"))
+    return found.select(lang.alias("lang"), phrase.alias("phrase"), size.cast("int").alias("words"), "n")
 
 
 def bit_words(phrases: DataFrame, power: int) -> DataFrame:
