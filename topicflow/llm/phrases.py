@@ -24,6 +24,7 @@ columns are left out; an empty table gives no rows.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import re
 from collections import defaultdict
@@ -201,8 +202,11 @@ def counted(docs: DataFrame, longest: int, now: Filter | None, done: Filter | No
                     yield from rows(lang, texts)
                 held.clear()
                 size = 0
+                give_back()
         for lang, texts in held.items():
             yield from rows(lang, texts)
+        held.clear()
+        give_back()
 
     found = docs.mapInArrow(run, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
     phrase = F.substring_index("key", "\t", 1)
@@ -211,6 +215,14 @@ def counted(docs: DataFrame, longest: int, now: Filter | None, done: Filter | No
     return found.select(lang.alias("lang"), phrase.alias("phrase"), size.cast("int").alias("words"), "n")
 
 
+def give_back() -> None:
+    """Return memory that the allocators keep; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def bit_words(phrases: DataFrame, power: int) -> DataFrame:
     """(word, bits): the 64-bit words of a filter that are not zero, made on the executors."""
     schema = pa.schema([("word", pa.int64()), ("bits", pa.int64())])
