@@ -3,7 +3,7 @@
 import base64
 import datetime
 import json
-from decimal import Decimal
+from decimal import Context, Decimal
 
 import pytest
 from pyspark.sql import types as T
@@ -12,8 +12,8 @@ from topicflow.operators.declared import Node, declared_schemas, decode_declared
 from topicflow.operators.evolve import SchemaConflict
 
 
-def field(name, kind, **more):
-    return {"field": name, "type": kind, **more}
+def field(title, kind, **more):
+    return {"field": title, "type": kind, **more}
 
 
 def struct(*fields, **more):
@@ -24,8 +24,8 @@ def row(schema, payload):
     return json.dumps({"schema": schema, "payload": payload})
 
 
-def logical(name, kind, which, **more):
-    return field(name, kind, name=f"org.apache.kafka.connect.data.{which}", **more)
+def logical(title, kind, which, **more):
+    return field(title, kind, name=f"org.apache.kafka.connect.data.{which}", **more)
 
 
 def decoded(topic, texts):
@@ -150,8 +150,8 @@ def test_decimals(topic, scale):
     texts += [row(schema, {"d": base64.b64encode(b"\0" * 9 + b"\x05").decode()})]
     texts += [row(schema, {"d": base64.b64encode(b"\xff" * 20).decode()})]
     found = decoded(topic, texts)
-    wanted = [Decimal(n).scaleb(-scale, __import__("decimal").Context(prec=60)) for n in [*NUMBERS, 5, -1]]
-    assert [f["d"] for f in found] == wanted
+    wanted = [Decimal(n).scaleb(-scale, Context(prec=60)) for n in [*NUMBERS, 5, -1]]
+    assert found == [{"d": w} for w in wanted]
     for bad in (two_s_complement(10**38), two_s_complement(2**130), "", "?", 5):
         assert decoded(topic, [row(schema, {"d": bad})]) == ["not a bytes: d"], bad
 

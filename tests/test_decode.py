@@ -7,11 +7,11 @@ from pyspark.sql import types as T
 from topicflow.operators.decode import (
     compact_json,
     decode_json,
-    decode_json_envelope,
     decode_xml,
     drop_tombstones,
     require_object,
 )
+from topicflow.operators.declared import decode_declared
 from topicflow.operators.evolve import SchemaConflict
 from topicflow.operators.infer import field_types, fields_of, infer_schema, row_shapes, schema_conflicts, shape_fields
 from topicflow.operators.validate import check_key_names, split_invalid, validate_keys
@@ -157,7 +157,7 @@ def test_envelope_with_schema(topic):
         ],
     }
     wider = {"type": "struct", "fields": [{"field": "i", "type": "int32"}, {"field": "more", "type": "boolean"}]}
-    rows = decode_json_envelope(
+    rows = decode_declared(
         topic([
             json.dumps({"schema": schema, "payload": {"i": 1, "s": "x", "n": {"l": [1, 2]}, "m": {"k": 1.5}}}),
             json.dumps({"schema": wider, "payload": {"i": 2, "more": True}}),
@@ -170,24 +170,25 @@ def test_envelope_with_schema(topic):
     assert second["value"]["more"] is True and third["_invalid"] == ["payload is not an object"]
 
 
-VOYAGE = """
-<voyage>
- <leg no="7"><stop>Oslo</stop><stop><port>Bergen</port></stop><ship>Ran</ship><stop>Hull</stop></leg>
- <leg no="8"><stop>Hull</stop><stop>Genoa</stop></leg>
- <cargo>salt and tea</cargo><berth>05</berth><note/><crew><size>4</size></crew>
-</voyage>"""
+WEATHER = """
+<w:diary xmlns:w="urn:weather" kind="wind" unit="kn" w:station="4">
+ <gust>12</gust>
+ <hours><h>0</h><mean>7</mean><h>6</h><mean>9</mean><h>12</h></hours>
+ <gust>31</gust>
+ <sea state="3" swell="2" dir="NW"><w:calm/></sea>
+ <gust>18</gust>
+</w:diary>"""
 
 
 def test_xml(topic):
-    """Repeated elements become lists, mixed ones too; attributes are fields; all values are text."""
-    rows = decode_xml(topic([VOYAGE, "<v><cargo>tin</cargo><leg>none</leg></v>"])).orderBy("offset").collect()
-    first = rows[0]["value"]
-    assert json.loads(first["leg"]) == [
-        {"no": "7", "stop": ["Oslo", {"port": "Bergen"}, "Hull"], "ship": "Ran"},
-        {"no": "8", "stop": ["Hull", "Genoa"]},
-    ]
-    assert first["cargo"] == "salt and tea" and first["berth"] == "05" and first["note"] == ""
-    assert first["crew"]["size"] == "4" and rows[1]["value"]["leg"] == "none"
+    """Repeats form lists wherever they stand, at any depth; attributes are fields, prefixes go."""
+    first, second = decode_xml(topic([WEATHER, "<d unit='m/s'><gust>40</gust></d>"])).orderBy("offset").collect()
+    diary = first["value"]
+    assert (diary["kind"], diary["unit"], diary["station"]) == ("wind", "kn", "4")
+    assert json.loads(diary["gust"]) == ["12", "31", "18"]
+    assert [json.loads(diary["hours"][n]) for n in ("h", "mean")] == [["0", "6", "12"], ["7", "9"]]
+    assert diary["sea"].asDict() == {"state": "3", "swell": "2", "dir": "NW", "calm": ""}
+    assert (second["value"]["gust"], second["value"]["unit"], second["value"]["sea"]) == ("40", "m/s", None)
 
 
 def test_xml_that_is_no_record(topic):

@@ -54,10 +54,9 @@ def test_flatten_adds_no_shuffle_and_prunes(spark, tmp_path):
     assert "ReadSchema: struct<s:struct<b:struct<c:int>>>" in plan
 
 
-def test_chunks_of_mixed_list(spark):
-    df = spark.sql("""select '{"readings":[false,"dry",20]}' as value""")
-    row = chunk_json(df, 2, 20, "value").first()["value"]
-    assert row["payload_chunk1"] == '{"readings":[false,"' and row["payload_chunk2"] == 'dry",20]}'
+def test_chunks_of_nested_lists(spark):
+    df = spark.sql("""select '{"k":[[],{"é":-1}]}' as value""")
+    assert list(chunk_json(df, 4, 7, "value").first()["value"]) == ['{"k":[[', '],{"é"', ":-1}]}", None]
 
 
 def test_chunk_limits(spark):

@@ -16,6 +16,7 @@ def test_fixed_mask_keeps_nulls_and_hides_empty_text(spark):
     assert one(mask(texts(spark, "abc", "", None), "v")) == ["*****", "*****", None]
 
 
+# Hashes that have to be met.
 def test_sha1_vectors(spark):
     got = one(mask(texts(spark, "this is a test", "bob", "mr", None), "v", "sha1"))
     assert got == [
@@ -26,6 +27,7 @@ def test_sha1_vectors(spark):
     ]
 
 
+# Hashes that have to be met.
 def test_sha512_salts_every_value(spark):
     bob, mr, none = one(mask(texts(spark, "bob", "mr", None), "v", "sha512", salt="pepper"))
     assert bob.startswith("7dd03041fa190b49639a") and len(bob) == 128

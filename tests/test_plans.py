@@ -1,9 +1,11 @@
 import glob
 import json
 import os
+import random
 import re
 import time
 
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ from topicflow.session import checkpoint_folder
 from topicflow.sinks.parquet import create_target_sql, read_table, row_group_bytes_for, upsert_table, write_segments
 from topicflow.sources.topic import TOPIC_SCHEMA, as_topic, read_topic
 from topicflow.streaming.ingest import ingest_stream
-from topicflow.streaming.segments import closed_segments, idle_sessions
+from topicflow.streaming.segments import closed_segments, idle_sessions, segment_closer, track_segments
 
 
 @pytest.mark.parametrize(
@@ -61,15 +63,21 @@ def test_transform_evolves_and_aligns(topic):
         transform(topic(['{"port":1}']), Options(**PLAIN), first.schema)
 
 
+def by_bytes(text, chunks, width):
+    raw = text.encode()
+    parts = [raw[i * width : (i + 1) * width].decode("utf-8", "replace") or None for i in range(chunks)]
+    return {f"payload_chunk{i}": p for i, p in enumerate(parts, 1)}
+
+
 def test_transform_chunks_payloads_with_any_keys(topic):
-    o = Options(json_chunks=2, varchar_length=20, **PLAIN)
-    out = transform(topic(['{"readings": [false, "dry", 20]}', '{"8":"tin","":"tea and salt"}']), o)
-    assert values(out.valid) == [
-        {"payload_chunk1": '{"readings":[false,"', "payload_chunk2": 'dry",20]}'},
-        {"payload_chunk1": '{"8":"tin","":"tea a', "payload_chunk2": 'nd salt"}'},
-    ]
-    xml = Options(format="xml", json_chunks=2, varchar_length=20, **PLAIN)
-    assert values(transform(topic(["<r><a>1</a><b/></r>"]), xml).valid)[0]["payload_chunk1"] == '{"a":"1","b":""}'
+    o = Options(json_chunks=3, varchar_length=17, **PLAIN)
+    texts = ['{ "depths" : [3.5, "é", null, [true]], "at": "q"}', '{"a b":{"":[]},"-":1}']
+    compact = ['{"depths":[3.5,"é",null,[true]],"at":"q"}', texts[1]]
+    found = values(transform(topic(texts), o).valid)
+    assert found == [by_bytes(t, 3, 17) for t in compact] and found[0]["payload_chunk1"].endswith("\ufffd")
+    xml = Options(format="xml", json_chunks=1, varchar_length=60, **PLAIN)
+    (row,) = values(transform(topic(["<r><k v='2'/><k>é</k></r>"]), xml).valid)
+    assert row == {"payload_chunk1": '{"k":[{"v":"2"},"é"]}'}
 
 
 def test_masks_and_keys_see_flat_names_and_lineage(topic):
@@ -367,6 +375,96 @@ def test_payloads_are_shuffled_once(spark, topic, tmp_path):
         assert exchanges_with(plan, "value") == count
 
 
+def test_topics_have_schemas_of_their_own(spark, topic, tmp_path):
+    path, o = str(tmp_path), Options(embed_metadata=False, schema_per_topic=True, keys="id", order_by="at")
+    both = topic(['{"id":1,"at":1}'], name="ships").unionAll(topic(['{"id":"a","at":1,"port":"x"}'], name="ports"))
+    ingest.publish(both, 0, path, o)
+    more = topic(['{"id":2,"at":1.5}'], name="ships", first=1).unionAll(topic(['{"id":"a","at":2}'], name="ports", first=1))
+    ingest.publish(more, 1, path, o)
+    store = Store(spark, path)
+    assert (store.versions_of("ports"), store.versions_of("ships"), store.versions_of("x")) == ([0], [1, 2], [])
+    assert {(r["id"], r["at"], r["port"]) for r in store.rows(version=0).collect()} == {("a", 1, "x"), ("a", 2, None)}
+    assert [r["at"] for r in store.rows(version=1).collect()] == [1]
+    assert [r["at"] for r in store.rows(version=2).collect()] == [1.5]
+    assert [(r["id"], r["at"]) for r in store.latest(o, version=0).collect()] == [("a", 2)]
+    ingest.publish(both.limit(0), 2, path, o)
+    assert store.rows(version=0).count() == 2
+
+
+def test_texts_wider_than_the_target_are_dead_letters(spark, topic, tmp_path):
+    o = Options(varchar_length=3, embed_metadata=False, continue_on_invalid=True)
+    store = ingest_batch(spark, topic(['{"a":"éé7","n":12345}', '{"a":"long","n":1}', '{"a":null}']), str(tmp_path), o)
+    assert [r["a"] for r in store.rows(True).orderBy("__offset").collect()] == ["éé7", None]
+    dead = spark.read.parquet(f"{tmp_path}/dead_letters/batch=0").collect()
+    assert [(r["offset"], r["reason"]) for r in dead] == [(1, "longer than 3: a")]
+
+
+def greedy(rows, max_records, max_bytes, gap):
+    """(first, last, bytes, rows) of closed segments, one row after the other."""
+    out, open_, last_ms = [], [], None
+    for offset, ms, size in rows:
+        if open_ and gap is not None and ms - last_ms >= gap:
+            out.append(open_)
+            open_ = []
+        open_, last_ms = [*open_, (offset, size)], ms
+        if (max_records and len(open_) >= max_records) or (max_bytes and sum(b for _, b in open_) >= max_bytes):
+            out.append(open_)
+            open_ = []
+    return [(s[0][0], s[-1][0], sum(b for _, b in s), len(s)) for s in out]
+
+
+RULES = [(3, None, None), (None, 100, None), (4, 120, None), (5, 150, 3000), (None, None, 2500)]
+
+
+@pytest.fixture(scope="module")
+def arrivals():
+    rng, ms, out = random.Random(9), 0, []
+    for offset in range(120):
+        ms += rng.choice([100, 900, 2500, 3000])
+        out.append((offset, ms, rng.choice([0, 10, 40, 130])))
+    return out
+
+
+def in_files(spark, source, rows, cuts):
+    for a, b in zip([0, *cuts], [*cuts, len(rows)]):
+        df = spark.createDataFrame(rows[max(0, a - 2) : b], "offset bigint, ms bigint, size bigint")
+        df = df.selectExpr("'t' topic", "0 partition", "offset", "timestamp_millis(ms) timestamp", "cast(size as string) value")
+        df.coalesce(1).write.mode("append").parquet(source)
+
+
+@pytest.mark.parametrize("max_records,max_bytes,gap", RULES)
+def test_live_closing_is_that_of_one_row_after_the_other(arrivals, max_records, max_bytes, gap):
+    """The state function alone, over batches that overlap and are out of order inside."""
+    close = segment_closer(max_records, max_bytes, gap)
+    state, out, rng = FakeState(), [], random.Random(3)
+    for a, b in ((0, 1), (1, 40), (38, 41), (41, 41), (41, 120)):
+        some = pd.DataFrame(rng.sample(arrivals[a:b], b - a), columns=["offset", "ms", "size"])
+        out += [tuple(r)[3:] for f in close(("t", 0), iter([some]), state) for r in f.itertuples(index=False)]
+    assert out == greedy(arrivals, max_records, max_bytes, gap)
+
+
+class FakeState:
+    exists, hasTimedOut, get = False, False, None
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+    def setTimeoutDuration(self, _):
+        pass
+
+
+def test_a_stream_is_tracked_over_micro_batches(spark, arrivals, tmp_path):
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    in_files(spark, source, arrivals, (7, 50, 51))
+    stream = read_topic(spark, "parquet", {"maxFilesPerTrigger": "1"}, source, streaming=True)
+    o = Options(max_records=5, idle="3s")
+    track_segments(stream, out, o, check, F.col("value").cast("bigint")).awaitTermination()
+    store = Store(spark, out)
+    assert store.log.last().batch == 3
+    found = store.manifest(o).filter("closed").orderBy("segment").collect()
+    assert [(r["first_offset"], r["last_offset"], r["bytes"], r["rows"]) for r in found] == greedy(arrivals, 5, None, 3000)
+
+
 def test_live_closing_keeps_state_across_batches(spark, topic, tmp_path):
     source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     for n, first in ((5, 0), (5, 5), (2, 8)):

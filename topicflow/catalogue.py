@@ -29,10 +29,10 @@ from topicflow.plans.ingest import Store, ingest_batch, publish
 from topicflow.plans.options import Options
 from topicflow.plans.transform import transform
 from topicflow.session import checkpoint_folder
-from topicflow.sinks.parquet import read_table, upsert_table, write_segments
+from topicflow.sinks.parquet import read_table, upsert_table, write_dead_letters, write_segments
 from topicflow.sources.topic import as_topic, read_topic
 from topicflow.streaming.ingest import ingest_stream
-from topicflow.streaming.segments import closed_segments, idle_sessions
+from topicflow.streaming.segments import idle_sessions, track_segments
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -171,7 +171,7 @@ def decode_envelope(spark, sf_dir):
         '{"schema":' + ENVELOPE_SCHEMA + ',"payload":{"id":', F.col("user_id"), ',"kind":"',
         F.col("event_type"), '","tags":["', F.col("event_type"), '"]}}',
     )
-    rows = flatten(decode.decode_json_envelope(events_topic(spark, sf_dir, value)), "value")
+    rows = flatten(declared.decode_declared(events_topic(spark, sf_dir, value)), "value")
     return rows.select("offset", "value.*")
 
 
@@ -195,7 +195,7 @@ def own_schema_json():
     amount = F.base64(F.unhex(F.lpad(F.hex(cents), 16, "0")))
     ends = text(
         ',"amount":"', amount, '","day":', number % 40_000 - 10_000, ',"at":', number * 7919 % 86_400_000,
-        ',"ts":', F.unix_millis("ts"), "}}",
+        ',"ts":', F.unix_millis(F.col("ts").cast("timestamp")), "}}",
     )
     plain = text('{"id":', user, ',"kind":"', kind, '"')
     plain = F.when(number % 7 == 2, text('{"id":', user, ',"kind":', user)).otherwise(plain)
@@ -797,6 +797,51 @@ def ingest_batch_rows(spark, sf_dir):
     return ingest_batch(spark, rows, path, flow_options()).rows(lineage=True)
 
 
+@query(TOPIC_SQL + """
+SELECT "offset", 'longer than 9: name' AS reason, 'event-' || "offset" AS name FROM t
+WHERE strlen('event-' || "offset") > 9""")
+def width_dead_letters(spark, sf_dir):
+    """Texts beyond the width of the target's columns."""
+    value = text('{"name":"event-', F.col("event_id"), '"}')
+    options = Options(varchar_length=9, embed_metadata=False, continue_on_invalid=True)
+    dead = transform(events_topic(spark, sf_dir, value), options).dead_letters
+    return dead.select("offset", "reason", F.get_json_object("value", "$.name").alias("name"))
+
+
+@query(TOPIC_SQL + """
+SELECT topic, "partition", "offset", '{"user":{"kind":"' || topic || '"},"props":' || props || '}' AS value,
+  'null key: user_id' AS reason FROM t WHERE user_id % 10 = 0""")
+def dead_letter_files(spark, sf_dir):
+    """The dead-letter sink, read back."""
+    path = scratch(spark, "dead")
+    write_dead_letters(transform(events_topic(spark, sf_dir, flow_json()), flow_options()).dead_letters, path)
+    return spark.read.parquet(path).select("topic", "partition", "offset", "value", "reason")
+
+
+@query(TOPIC_SQL + """SELECT topic, "partition", "offset", ms, props AS value FROM t""")
+def read_topic_rows(spark, sf_dir):
+    """A topic stored as files, through the reader of topics."""
+    path = scratch(spark, "topic")
+    events_topic(spark, sf_dir).write.parquet(path)
+    rows = read_topic(spark, "parquet", path=path)
+    return rows.select("topic", "partition", "offset", F.unix_millis("timestamp").alias("ms"), "value")
+
+
+@query(TOPIC_SQL + """
+SELECT "offset", CASE "offset" % 4 WHEN 0 THEN 'payload is not an object' WHEN 1 THEN 'payload is not an object'
+    WHEN 2 THEN 'payload is not an object' END AS reason,
+  CASE "offset" % 4 WHEN 3 THEN user_id END AS id FROM t""")
+def decode_top_level(spark, sf_dir):
+    """JSON null, a number and a text are no records; fields that are always null are no columns."""
+    number, user = F.col("event_id") % 4, F.col("user_id")
+    value = (
+        F.when(number == 0, F.lit("null")).when(number == 1, user.cast("string"))
+        .when(number == 2, text('"', user, '"')).otherwise(text('{"id":', user, ',"nothing":null}'))
+    )
+    rows = decode.decode_json(events_topic(spark, sf_dir, value))
+    return rows.select("offset", F.get("_invalid", F.lit(0)).alias("reason"), "value.*")
+
+
 RANKED_SQL = """
 , r AS (SELECT *, "offset" * 7919 % 101 AS rank,
           CASE WHEN "offset" <= (SELECT max("offset") // 2 FROM t) THEN 0 ELSE 1 END AS batch FROM t)
@@ -822,6 +867,32 @@ def ingest_keyed_rows(spark, sf_dir):
     return Store(spark, path).latest(options)
 
 
+@query(TOPIC_SQL + """
+SELECT topic, "partition", "offset", CASE topic WHEN 'click' THEN NULL ELSE user_id END AS number,
+  CASE topic WHEN 'click' THEN 'u' || user_id END AS name FROM t""")
+def ingest_topic_schemas(spark, sf_dir):
+    """Field ``id`` is text in one topic and a number in the others: a table per topic, no conflict."""
+    value = F.when(F.col("event_type") == "click", text('{"id":"u', F.col("user_id"), '"}')).otherwise(
+        text('{"id":', F.col("user_id"), "}")
+    )
+    options = Options(embed_metadata=False, schema_per_topic=True)
+    rows = events_topic(spark, sf_dir, value)
+    store = ingest_batch(spark, rows, scratch(spark, "topics"), options)
+    frames = []
+    for topic in sorted(r[0] for r in rows.select("topic").distinct().collect()):
+        (version,) = store.versions_of(topic)
+        found = store.rows(True, version)
+        is_text = found.schema["id"].dataType == T.StringType()
+        frames.append(
+            found.select(
+                *[F.col(f"__{c}").alias(c) for c in ("topic", "partition", "offset")],
+                (F.lit(None).cast("bigint") if is_text else F.col("id")).alias("number"),
+                (F.col("id") if is_text else F.lit(None).cast("string")).alias("name"),
+            )
+        )
+    return reduce(DataFrame.unionAll, frames)
+
+
 RETYPED_SQL = 'CASE WHEN "offset" // 500 % 3 = 1 THEN 1 ELSE 0 END'
 
 
@@ -867,13 +938,18 @@ def stream_of(spark, sf_dir, name):
 @query(TOPIC_SQL + MANIFEST_SQL + """
 SELECT topic, "partition", segment, first_offset, last_offset, bytes, rows FROM manifest WHERE closed""")
 def closed_segments_stream(spark, sf_dir):
-    path = scratch(spark, "closed")
-    rows = as_events_topic(stream_of(spark, sf_dir, "events"))
-    closed = closed_segments(rows, max_records=RECORDS, size=value_size())
-    writer = closed.writeStream.format("parquet").option("path", f"{path}/out")
-    writer = writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
-    writer.start().awaitTermination()
-    return spark.read.schema(closed.schema).parquet(f"{path}/out")
+    """Four micro-batches of one growing topic."""
+    path, events = scratch(spark, "closed"), table(spark, sf_dir, "events")
+    most = events.agg(F.max("event_id")).first()[0]
+    for i in range(4):
+        some = events.filter(F.expr(f"event_id * 4 div {most + 1}") == i)
+        some.write.mode("append").parquet(f"{path}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/events")
+    options = Options(max_records=RECORDS)
+    size = value_size()
+    track_segments(as_events_topic(stream), f"{path}/out", options, f"{path}/check", size).awaitTermination()
+    closed = Store(spark, f"{path}/out").manifest(options).filter("closed")
+    return closed.select("topic", "partition", "segment", "first_offset", "last_offset", "bytes", "rows")
 
 
 @query(TOPIC_SQL + f"""

@@ -141,7 +141,7 @@ def _first(problems: list[Column]) -> Column:
 
 def _each(values: Column, problem) -> Column:
     """The first problem of a list's elements."""
-    return F.element_at(F.filter(F.transform(values, problem), lambda p: p.isNotNull()), 1)
+    return F.get(F.filter(F.transform(values, problem), lambda p: p.isNotNull()), F.lit(0))
 
 
 def problem_of(value: Column, node: Node, path: str) -> Column:
@@ -198,15 +198,20 @@ def _decimal(text: Column, scale: int) -> Column:
     negative = F.substring(digits, 1, 1).isin(*"89ABCDEF")
     # more than 16 bytes fit only if the rest repeats the sign
     spare = F.regexp_replace(digits, r"^(?:00)+(?=[0-7].{31})|^(?:FF)+(?=[89A-F].{31})", "")
-    whole = F.lpad(spare, 32, "0")
-    whole = F.when(negative, F.lpad(spare, 32, "F")).otherwise(whole)
-    high = F.conv(F.substring(whole, 1, 16), 16, -10).cast("decimal(38,0)")
+    # of a negative number the inverted bits are its distance from -1
+    inverted = F.translate(spare, "0123456789ABCDEF", "FEDCBA9876543210")
+    whole = F.lpad(F.when(negative, inverted).otherwise(spare), 32, "0")
+    high = F.conv(F.substring(whole, 1, 16), 16, 10).cast("decimal(38,0)")
     low = F.conv(F.substring(whole, 17, 16), 16, 10).cast("decimal(20,0)")
     number = F.try_add(F.try_multiply(high, F.lit(Decimal(1 << 64))), low).try_cast("decimal(38,0)")
-    plain = F.lpad(F.abs(number).cast("string"), F.greatest(F.length(F.abs(number).cast("string")), F.lit(scale + 1)), F.lit("0"))
+    number = F.when(negative, F.try_add(number, F.lit(1))).otherwise(number).try_cast("decimal(38,0)")
+    text_ = number.cast("string")
+    plain = F.lpad(text_, F.greatest(F.length(text_), F.lit(scale + 1)), F.lit("0"))
     placed = F.concat(
-        F.when(number < 0, "-").otherwise(""),
-        F.substring(plain, F.lit(1), F.length(plain) - scale), F.lit("."), F.right(plain, F.lit(scale)) if scale else F.lit("0"),
+        F.when(negative, "-").otherwise(""),
+        F.substring(plain, F.lit(1), F.length(plain) - scale),
+        F.lit("."),
+        F.right(plain, F.lit(scale)) if scale else F.lit("0"),
     )
     ok = (F.length(digits) > 0) & (F.length(spare) <= 32)
     return F.when(ok, placed.try_cast(T.DecimalType(38, scale)))
@@ -216,8 +221,7 @@ def value_of(value: Column, node: Node) -> Column:
     """A value that matches its schema as a column of ``node.type``; the default where it is absent."""
     if node.kind == "struct":
         fields = [value_of(field_of(value, n), f).alias(n) for n, f in node.fields]
-        made = F.struct(*fields) if fields else F.struct(F.lit(None).cast("string").alias("__nothing"))
-        made = F.when(~_absent(value), made)
+        made = F.when(~_absent(value), F.struct(*fields))
     elif node.kind == "array":
         made = F.transform(_elements(value), lambda v: value_of(v, node.items))
     elif node.kind == "map" and node.keys.kind == "string":
@@ -254,11 +258,17 @@ def _merged(a: Node, b: Node) -> Node:
     if a.kind == "struct":
         theirs = dict(b.fields)
         fields = [(n, _merged(f, theirs.pop(n)) if n in theirs else f) for n, f in a.fields]
-        return Node("struct", True, None, fields=(*fields, *theirs.items()))
+        return Node("struct", True, fields=(*fields, *[(n, _bare(f)) for n, f in theirs.items()]))
     items = _merged(a.items, b.items) if a.items else None
     return Node(a.kind, True, None, a.logical, a.scale, (), items, a.keys)
 
 
+def _bare(node: Node) -> Node:
+    """The same node without defaults."""
+    fields = tuple((n, _bare(f)) for n, f in node.fields)
+    return replace(node, default=None, fields=fields, items=_bare(node.items) if node.items else None)
+
+
 def _with_defaults(node: Node, own: Node) -> Node:
     """The merged schema with the defaults of a row's own."""
     mine = dict(own.fields)

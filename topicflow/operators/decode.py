@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicflow.operators.evolve import merge_schemas
 from topicflow.operators.infer import MIXED, MIXED_EMPTY_KEY, infer_schema
 from topicflow.records import INVALID, add_reason
 from topicflow.session import materialise
@@ -195,49 +194,6 @@ def compact_json(text: Column) -> Column:
     return F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "v string").getField("v")
 
 
-# Type names of the schema part of a schema+payload envelope.
-DECLARED_TYPES = {
-    "int8": T.ByteType(),
-    "int16": T.ShortType(),
-    "int32": T.IntegerType(),
-    "int64": T.LongType(),
-    "float": T.FloatType(),
-    "float32": T.FloatType(),
-    "double": T.DoubleType(),
-    "float64": T.DoubleType(),
-    "boolean": T.BooleanType(),
-    "string": T.StringType(),
-    "bytes": T.BinaryType(),
-}
-
-
-def declared_schema(node: dict) -> T.DataType:
-    """Spark type of one schema node of a schema+payload envelope."""
-    kind = node["type"]
-    if kind == "struct":
-        return T.StructType(
-            [T.StructField(f["field"], declared_schema(f)) for f in node.get("fields", [])]
-        )
-    if kind == "array":
-        return T.ArrayType(declared_schema(node["items"]))
-    if kind == "map":
-        return T.MapType(declared_schema(node["keys"]), declared_schema(node["values"]))
-    return DECLARED_TYPES[kind]
-
-
-def decode_json_envelope(df: DataFrame, column: str = "value", keep_raw: str | None = None) -> DataFrame:
-    """``{"schema": …, "payload": …}`` rows: the declared schemas, merged strictly."""
-    text = F.col(column).cast("string")
-    documents = df.select(F.get_json_object(text, "$.schema").alias("s")).distinct()
-    schema = T.StructType()
-    for row in documents.filter("s is not null").orderBy("s").collect():
-        schema = merge_schemas(schema, declared_schema(json.loads(row["s"])))
-    if keep_raw:
-        df = df.withColumn(keep_raw, F.col(column))
-    payload = F.coalesce(F.get_json_object(text, "$.payload"), F.lit("null"))
-    return decode_json(df.withColumn(column, payload), schema, column)
-
-
 # ---------------------------------------------------------------- XML
 
 # Fixed value: the attribute that marks an element as null.

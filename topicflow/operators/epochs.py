@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 from topicflow.operators.breaks import NEVER, Rows, find_breaks
 from topicflow.operators.decode import decode_json
 from topicflow.operators.evolve import SchemaConflict
-from topicflow.operators.infer import json_shape, schema_from_fields, shape_fields
+from topicflow.operators.infer import bounded, json_shape, schema_from_fields, shape_fields
 from topicflow.operators.ordered import BLOCK, BLOCK_BITS, block_of, fill_from_marks, running
 from topicflow.records import TOPIC_PARTITION, measured
 from topicflow.session import keep_last_of_repeated_keys, materialise
 
 KEYS = list(TOPIC_PARTITION)
+MOST_SHAPES = 10_000
 # Inferred kinds that share one column type.
 TEXT_KINDS = ("list", "empty", "string")
 
@@ -138,7 +139,7 @@ def split_epochs(
         F.min("first").alias("first"),
     )
     distinct = schemas.groupBy("fields").agg(F.min(F.struct("first", *KEYS)).alias("at"))
-    distinct = distinct.orderBy("at").collect()
+    distinct = sorted(bounded(distinct, MOST_SHAPES, "schemas"), key=lambda r: tuple(r["at"]))
     if not distinct:
         return [(T.StructType(), df)]
     versions: list[dict] = []
@@ -154,7 +155,7 @@ def split_epochs(
     numbered = df.sparkSession.createDataFrame(numbers, schema)
     placed = measured(schemas.join(numbered, "fields").select(*KEYS, "epoch", "__version"))
     seen = fields.join(placed, [*KEYS, "epoch"]).groupBy("__version", "path", "type")
-    seen = seen.agg(F.min("first").alias("first"), F.sum("rows").alias("rows")).collect()
+    seen = bounded(seen.agg(F.min("first").alias("first"), F.sum("rows").alias("rows")))
     rows = df.join(placed, [*KEYS, "epoch"], "left").fillna(0, ["__version"])
     return [
         (

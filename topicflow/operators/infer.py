@@ -165,9 +165,21 @@ def field_types(df: DataFrame, column: str = "value", order: Column | None = Non
     return fields_of(row_shapes(df, column, order))
 
 
+#: Fields that the driver takes; payloads that use ids as keys have as many as ids.
+MOST_FIELDS = 50_000
+
+
+def bounded(rows: DataFrame, most: int = MOST_FIELDS, what: str = "fields") -> list:
+    """All rows on the driver, or an error if there are more than ``most``."""
+    found = rows.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"the payloads have more than {most} {what}; json_chunks takes any keys")
+    return found
+
+
 def collect_fields(df: DataFrame, column: str = "value", order: Column | None = None) -> list:
     """(path, type, first, rows) on the driver; as many as the schema has fields."""
-    return field_types(df, column, order).collect()
+    return bounded(field_types(df, column, order))
 
 
 # Metadata of a field that is an object in some rows and a plain value in

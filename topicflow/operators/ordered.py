@@ -9,7 +9,7 @@ a table with one row per block.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,6 +89,47 @@ def running(
     return joined.select(*out)
 
 
+def running_flags(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    watched: Sequence[str],
+    flag: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+    name: str,
+    block_bits: int = BLOCK_BITS,
+) -> DataFrame:
+    """Add ``name``: the number of rows up to and including this one that ``flag`` marks.
+
+    ``flag(now, before)`` compares a row's ``watched`` columns with those of the row before it
+    in its key; null counts as no mark, as does a key's first row.  One pass does both: blocks
+    count by themselves, but for their first rows, which are compared by one row per block.
+    """
+    by = [quote(k) for k in keys]
+    source = with_block(df, order, block_bits)
+    here = Window.partitionBy(*by, BLOCK).orderBy(quote(order))
+    upto = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def marked(now: Callable[[str], Column], before: Callable[[str], Column]) -> Column:
+        return F.coalesce(flag(now, before), F.lit(False)).cast("bigint")
+
+    own = marked(lambda c: F.col(quote(c)), lambda c: F.lag(quote(c)).over(here))
+    own = F.when(F.row_number().over(here) == 1, 0).otherwise(own)
+    rows = source.withColumn("__flag", own).withColumn("__count", F.sum("__flag").over(upto))
+    ends = F.struct(*[F.col(quote(c)) for c in watched])
+    blocks = rows.groupBy(*by, BLOCK).agg(
+        F.max("__count").alias("__inside"),
+        F.min_by(ends, quote(order)).alias("__head"),
+        F.max_by(ends, quote(order)).alias("__tail"),
+    )
+    along = Window.partitionBy(*by).orderBy(BLOCK)
+    blocks = blocks.withColumn("__last", F.lag("__tail").over(along))
+    blocks = blocks.withColumn("__mark", marked(lambda c: F.col("__head")[c], lambda c: F.col("__last")[c]))
+    earlier = F.sum(F.col("__inside") + F.col("__mark")).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    carry = blocks.select(*by, BLOCK, (F.coalesce(earlier, F.lit(0)) + F.col("__mark")).alias("__carry"))
+    joined = rows.join(carry, [*keys, BLOCK], "left")
+    return joined.select(*[F.col(quote(c)) for c in df.columns], (F.col("__count") + F.col("__carry")).alias(name))
+
+
 def fill_from_marks(
     df: DataFrame,
     marks: DataFrame,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from topicflow.operators.breaks import NEVER, Rows, find_breaks, key_spans
 from topicflow.operators.flatten import KEEP_NULLS
-from topicflow.operators.ordered import BLOCK, BLOCK_BITS, fill_from_marks, running, with_block
+from topicflow.operators.ordered import BLOCK, BLOCK_BITS, fill_from_marks, running, running_flags, with_block
 from topicflow.operators.replay import after_committed
 from topicflow.records import TOPIC_PARTITION, measured, quote
 
@@ -113,10 +113,21 @@ def segment(
         number = F.expr(f"(__row - 1) div {max_records}")
         return counted.withColumn("segment", number).drop(SIZE, "__row")
     if not (max_records or max_bytes) and open_segments is None:
-        flagged = _with_forced(with_block(df, "offset", block_bits), rules, block_bits, None)
-        flagged = flagged.withColumn(FORCED, F.col(FORCED).cast("bigint"))
-        counted = running(flagged, KEYS, "offset", totals={"segment": FORCED}, block_bits=block_bits)
-        return counted.drop(FORCED, BLOCK)
+        watched = {}
+        if idle is not None:
+            watched["__ts"] = F.unix_millis(F.col("timestamp").cast("timestamp"))
+        if by_schema is not None:
+            watched["__schema"] = F.col(quote(by_schema)).cast("string")
+
+        def begins(now, before) -> Column:
+            gap = now("__ts") - before("__ts") >= millis(idle) if idle is not None else F.lit(False)
+            other = now("__schema") != before("__schema") if by_schema is not None else F.lit(False)
+            return F.coalesce(gap, F.lit(False)) | F.coalesce(other, F.lit(False))
+
+        flagged = running_flags(
+            df.withColumns(watched), KEYS, "offset", list(watched), begins, "segment", block_bits
+        )
+        return flagged.select(*[quote(c) for c in names], "segment")
 
     size = payload_size(df) if size is None else size
     narrow = df.select(
@@ -209,6 +220,7 @@ def close_manifest(
     )
 
 
+# Fixed value: the pattern of file names.
 def file_name() -> Column:
     def text(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit("NA"))

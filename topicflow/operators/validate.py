@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from topicflow.records import INVALID, add_reason, at, record_schema
 
@@ -38,6 +39,15 @@ def validate_keys(
     return add_reason(df, key_problem(df, keys, allow_null, column))
 
 
+def validate_widths(df: DataFrame, length: int, column: str | None = None) -> DataFrame:
+    """Flag rows with a text of more than ``length`` characters in a top-level field."""
+    names = [f.name for f in record_schema(df, column) if isinstance(f.dataType, T.StringType)]
+    if not names:
+        return df
+    long = [F.when(F.length(at(column, [n])) > length, F.lit(f"longer than {length}: {n}")) for n in names]
+    return add_reason(df, F.coalesce(*long))
+
+
 def split_invalid(df: DataFrame, continue_on_invalid: bool = True) -> tuple[DataFrame, DataFrame]:
     """(valid, dead letters).  Without ``continue_on_invalid`` the first invalid
     row fails the job that reads the valid frame."""

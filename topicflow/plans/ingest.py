@@ -35,7 +35,7 @@ from topicflow.operators.latest import latest_per_key
 from topicflow.operators.ordered import BLOCK, BLOCK_BITS, block_of
 from topicflow.operators.replay import drop_replayed
 from topicflow.operators.segment import close_manifest, committed_offsets, payload_size, segment
-from topicflow.plans.log import Commit, CommitLog, merged_parts
+from topicflow.plans.log import MANIFEST, Commit, CommitLog, merged_parts
 from topicflow.plans.options import Options
 from topicflow.plans.transform import RAW, VALUE, explode_rows, inference, split_rows, transform_rows
 from topicflow.records import ENVELOPE, INVALID, TOPIC_PARTITION, quote
@@ -54,6 +54,7 @@ PLACE = (
 )
 COUNTED = T.StructType([T.StructField(n, T.LongType()) for n in ("__offset", "__bytes", "__ts")])
 NOTHING = "__nothing"
+MOST_TOPICS = 1000
 ROW = "__row"
 
 
@@ -92,6 +93,11 @@ class Store:
         last = self.log.last()
         return [] if last is None else list(last.written)
 
+    def versions_of(self, topic: str) -> list[int]:
+        """Versions of a topic whose schemas are kept apart, in the order in which they began."""
+        last = self.log.last()
+        return [] if last is None else [i for i, owner in enumerate(last.owners) if owner == topic]
+
     def _version(self, last: Commit | None, version: int | None) -> int:
         if last is None:
             raise ValueError(f"nothing is published under {self.path}")
@@ -170,6 +176,27 @@ def _versioned(
     return frames, versions
 
 
+def _versioned_by_topic(
+    df: DataFrame, options: Options, versions: list[T.StructType], owners: list[str | None]
+) -> tuple[list[tuple[DataFrame, int]], list[T.StructType], list[str | None]]:
+    """As ``_versioned``, with versions of its own for every topic."""
+    topics = [r[0] for r in df.select("topic").distinct().limit(MOST_TOPICS + 1).collect()]
+    if len(topics) > MOST_TOPICS:
+        raise ValueError(f"more than {MOST_TOPICS} topics in a batch")
+    versions, owners, out = list(versions), list(owners), []
+    for topic in sorted(topics):
+        own = [i for i, owner in enumerate(owners) if owner == topic]
+        frames, found = _versioned(df.filter(F.col("topic") == topic), options, [versions[i] for i in own])
+        for i, schema in enumerate(found):
+            if i == len(own):
+                own.append(len(versions))
+                versions.append(schema)
+                owners.append(topic)
+            versions[own[i]] = schema
+        out += [(rows, own[i]) for rows, i in frames]
+    return out, versions, owners
+
+
 def publish(
     df: DataFrame,
     batch: int,
@@ -197,7 +224,15 @@ def _publish(
     last = log.before(batch)
     opened = None if last is None else log.state(last)
     source = materialise(_beyond(df.select(*ENVELOPE, VALUE), opened))
-    frames, versions = _versioned(source, options, [] if last is None else list(last.records))
+    known = Commit(-1) if last is None else last
+    if options.schema_per_topic:
+        frames, versions, owners = _versioned_by_topic(source, options, list(known.records), list(known.owners))
+    else:
+        frames, versions = _versioned(source, options, list(known.records))
+        owners = [None] * len(versions)
+    if not frames:  # a batch of no rows at all
+        frames, versions = [*_versioned(source, options, [])[0]], versions or [T.StructType()]
+        owners = owners or [None]
     # payloads are decoded here once; what follows reads the columns it needs
     staged = [(materialise(_counted(rows)), version) for rows, version in frames]
     split = [(*split_rows(rows, options), version) for rows, version in staged]
@@ -206,19 +241,11 @@ def _publish(
 
     valid = [(v, version) for v, _, version in split]
     cut = materialise(_cut(valid, options, opened, len(versions) > 1))
-    parts = cut.groupBy(*KEYS, "segment").agg(
-        F.min("offset").alias("first_offset"),
-        F.max("offset").alias("last_offset"),
-        F.sum("__bytes").alias("bytes"),
-        F.count("*").alias("rows"),
-        F.max("__ts").alias("last_ts"),
-        F.max("__number").alias("schema"),
-    )
+    parts = _parts(cut)
     if not keep_open and not flush:
         closed = close_manifest(parts, options.max_records, options.max_bytes, options.idle)
         parts = closed.filter("closed").drop("closed", "file_name")
-    parts = parts.withColumn("sealed", F.lit(not keep_open)).select(*_manifest_columns())
-    parts = log.write_parts(parts, batch)
+    parts = log.write_parts(_sealed(parts, not keep_open), batch)
 
     data = f"{path}/data/__batch={batch}"
     written = [] if last is None else list(last.written)
@@ -242,14 +269,14 @@ def _publish(
             if written[version]:
                 _merge(spark, data, batch, path, options, version, written[version], tables)
     log.write_state(_state(parts, opened, keep_open), batch)
-    commit(log, last, batch, versions, written, tables)
+    commit(log, last, batch, versions, written, owners, tables)
     for version, at in tables.items():
         known = {c.tables[version] for c in log.kept() if version in c.tables}
         keyed_table(spark, path, options, version).forget({at, *known})
 
 
-def commit(log: CommitLog, last: Commit | None, batch: int, versions, written, tables: dict[int, int]) -> None:
-    log.commit(last, batch, versions, written, tables)
+def commit(log: CommitLog, last: Commit | None, batch: int, *what) -> None:
+    log.commit(last, batch, *what)
 
 
 def _beyond(df: DataFrame, opened: DataFrame | None) -> DataFrame:
@@ -280,10 +307,40 @@ def _merge(
     tables[version] = batch
 
 
-def _manifest_columns() -> list[str]:
-    return [
-        *KEYS, "segment", "first_offset", "last_offset", "bytes", "rows", "last_ts", "schema", "sealed"
-    ]
+def _parts(cut: DataFrame) -> DataFrame:
+    """One row per segment of a batch."""
+    return cut.groupBy(*KEYS, "segment").agg(
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+        F.sum("__bytes").alias("bytes"),
+        F.count("*").alias("rows"),
+        F.max("__ts").alias("last_ts"),
+        F.max("__number").alias("schema"),
+    )
+
+
+def _sealed(parts: DataFrame, sealed: bool) -> DataFrame:
+    names = T._parse_datatype_string(MANIFEST).names
+    return parts.withColumn("sealed", F.lit(sealed)).select(*names)
+
+
+def track(df: DataFrame, batch: int, path: str, options: Options, size: Column) -> None:
+    """Segment one batch of topic rows without publishing them: manifest and state only.
+
+    Only offset, size and time of a row are moved, and a hot topic-partition is cut block
+    by block as in ``publish``, so nothing depends on how many rows a batch has of one.
+    """
+    spark = df.sparkSession
+    with staging(spark):
+        log = CommitLog(spark, path)
+        last = log.before(batch)
+        opened = None if last is None else log.state(last)
+        narrow = df.select(*KEYS, F.col("offset").cast("bigint").alias("offset"), "timestamp", size.alias("__bytes"))
+        narrow = _beyond(narrow, opened).withColumn(ROW, F.monotonically_increasing_id())
+        cut = materialise(_cut([(materialise(narrow), 0)], options, opened, False))
+        parts = log.write_parts(_sealed(_parts(cut), False), batch)
+        log.write_state(_state(parts, opened, True), batch)
+        commit(log, last, batch)
 
 
 def _counted(rows: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +48,8 @@ class Commit:
     #: Record schema of every version, transformed and as written.
     records: tuple[T.StructType, ...] = ()
     written: tuple[T.StructType, ...] = ()
+    #: Topic of every version where schemas are kept per topic, else null.
+    owners: tuple[str | None, ...] = ()
     #: Keyed table of every version: the batch that last wrote it.
     tables: dict[int, int] = field(default_factory=dict)
 
@@ -60,6 +62,7 @@ class Commit:
                 "published": self.published,
                 "records": [s.jsonValue() for s in self.records],
                 "written": [s.jsonValue() for s in self.written],
+                "owners": self.owners,
                 "tables": self.tables,
             }
         )
@@ -73,6 +76,7 @@ class Commit:
             found["base"],
             tuple(found["deltas"]),
             tuple((a, b) for a, b in found["published"]),
+            owners=tuple(found["owners"]),
             tables={int(k): v for k, v in found["tables"].items()},
             **schemas,
         )
@@ -139,15 +143,19 @@ class CommitLog:
     def write_state(self, state: DataFrame, batch: int) -> None:
         state.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/state/batch={batch}")
 
-    def commit(self, before: Commit | None, batch: int, records, written, tables: dict[int, int]) -> Commit:
+    def commit(
+        self, before: Commit | None, batch: int, records=(), written=(), owners=(), tables: dict[int, int] | None = None
+    ) -> Commit:
         """Publish the batch whose parts and state are written."""
         before = before or Commit(-1)
-        published = with_batch(before.published, batch)
         deltas = (*[d for d in before.deltas if d != batch], batch)
-        new = Commit(batch, before.base, deltas, published, tuple(records), tuple(written), tables)
+        new = Commit(
+            batch, before.base, deltas, with_batch(before.published, batch),
+            tuple(records), tuple(written), tuple(owners), dict(tables or {}),
+        )
         if len(deltas) > COMPACT_AFTER:
             merged_parts(self.parts(new)).write.mode("overwrite").parquet(self._base(batch))
-            new = Commit(batch, batch, (), published, tuple(records), tuple(written), tables)
+            new = replace(new, base=batch, deltas=())
         self._write(new)
         self._forget(new)
         return new

@@ -19,6 +19,8 @@ class Options:
     table: str = "topic_rows"
     format: str = "json"
     schema: T.StructType | None = None
+    # every topic evolves schemas of its own, and topics never share a table
+    schema_per_topic: bool = False
     # shape
     flatten: bool = True
     discard_collections: bool = False

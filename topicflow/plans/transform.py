@@ -12,17 +12,17 @@ from topicflow.operators.convert import decimals_to_double, lowercase_fields
 from topicflow.operators.decode import (
     compact_json,
     decode_json,
-    decode_json_envelope,
     decode_xml,
     drop_tombstones,
     xml_to_json,
 )
+from topicflow.operators.declared import decode_declared
 from topicflow.operators.evolve import align_to, merge_schemas
 from topicflow.operators.explode import explode_container
 from topicflow.operators.flatten import chunk_json, flatten
 from topicflow.operators.mask import apply_mask
 from topicflow.operators.metadata import embed_metadata
-from topicflow.operators.validate import split_invalid, validate_keys
+from topicflow.operators.validate import split_invalid, validate_keys, validate_widths
 from topicflow.plans.options import Options
 from topicflow.records import ENVELOPE, INVALID, add_reason
 
@@ -53,7 +53,7 @@ def _decode(
         return df.withColumns({RAW: F.to_json(VALUE), INVALID: F.array().cast("array<string>")}), True
     df = df.withColumn(RAW, F.col(VALUE))
     if options.format == "json_envelope":
-        return decode_json_envelope(df), True
+        return decode_declared(df), True
     if options.json_chunks is not None and options.schema is None:
         # cut the payload itself: no inference, any keys
         text = F.col(VALUE).cast("string")
@@ -86,7 +86,7 @@ def transform_rows(
     """Envelope, ``value``, ``raw`` payload and ``_invalid`` reasons, not yet split.
 
     Order: decode, convert, flatten, lineage, evolve and align, mask, check
-    keys.  Masking and keys therefore see flattened names and lineage columns.
+    keys, check widths.  Masking and keys therefore see flattened names and lineage columns.
     With ``explode`` the record keeps its shape here, see ``explode_rows``.
     ``inferred`` is the schema of the payloads where it was inferred before.
     """
@@ -105,6 +105,9 @@ def transform_rows(
     if options.mask is not None:
         df = apply_mask(df, options.mask, VALUE)
     df = validate_keys(df, list(options.keys), options.allow_null_keys, VALUE)
+    if options.varchar_length is not None and options.json_chunks is None and not options.explode:
+        # the target's text columns are that wide; chunks are cut to fit
+        df = validate_widths(df, options.varchar_length, VALUE)
     return df.select(*ENVELOPE, VALUE, RAW, INVALID), schema
 
 
