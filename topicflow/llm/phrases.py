@@ -29,21 +29,23 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicflow.llm.common import batch_of, slices, stage
 
 #: Share of the rows that is in the sample.
 SAMPLE = 1 / 16
-CHUNK_BYTES = 1 << 20
-HELD_BYTES = 3 << 20
+CHUNK_BYTES = 2 << 20
+HELD_BYTES = 6 << 20
 ROWS = 1 << 16
+BATCH_ROWS = 500
 #: Bits of the filter per proposed phrase, and the bounds of their number as powers of two.
 BITS_PER_PHRASE = 16
 FEWEST_BITS, MOST_BITS = 16, 28
@@ -258,6 +260,19 @@ def lowered(at_least: int, share: float) -> int:
     return max(2, math.ceil(expected - math.sqrt(expected)))
 
 
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of BATCH_ROWS texts while the passes run; 10,000 long texts at a time take
+    a hundred megabytes on both sides of a worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def frequent_phrases(
     docs: DataFrame, longest: int, at_least: int, lang_col: str = "lang", text_col: str = "text",
     sample: float = SAMPLE,
@@ -267,6 +282,11 @@ def frequent_phrases(
 
     ``sample`` is the share of rows that proposes; it matters for the number of passes only.
     """
+    with short_batches(docs.sparkSession):
+        return _frequent(docs, longest, at_least, lang_col, text_col, sample)
+
+
+def _frequent(docs: DataFrame, longest: int, at_least: int, lang_col: str, text_col: str, sample: float) -> DataFrame:
     rows = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.col(text_col).cast("string").alias("text"),
