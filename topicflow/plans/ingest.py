@@ -2,13 +2,15 @@
 
 Layout below one root folder, every part keyed by the batch that wrote it:
 
-    data/__batch=N/__schema=V/__topic=…/__partition=…/__segment=…   records and helpers
+    data/__batch=N/__schema=V                          records and helpers, in order of segments
     dead_letters/batch=N                               original rows and reasons
     tables/NAME/schema=V                               keyed table, see ``sinks/keyed.py``
     commits, manifest, state                           see ``plans/log.py``
 
 A payload whose fields change type starts another version of the record schema;
-each version is a table of its own, and a segment never holds two.
+each version is a table of its own, and a segment never holds two.  Segments may be as
+short as a row, so files hold many: which one a row is in, and its topic and partition,
+stand in columns beside the record.
 
 A batch is published by its commit, which is written last.  A batch that failed on the
 way is written again under the same number and replaces itself.  What a batch stages is
@@ -39,19 +41,13 @@ from topicflow.plans.log import MANIFEST, Commit, CommitLog, merged_parts
 from topicflow.plans.options import Options
 from topicflow.plans.transform import RAW, VALUE, explode_rows, inference, split_rows, transform_rows
 from topicflow.records import ENVELOPE, INVALID, TOPIC_PARTITION, quote
-from topicflow.session import materialise, staging
+from topicflow.session import delete_folder, materialise, staging
 from topicflow.sinks.keyed import KeyedTable
 from topicflow.sinks.parquet import parquet_writer, row_group_bytes_for, write_dead_letters
 
 KEYS = list(TOPIC_PARTITION)
-# Helper columns beside the record: folders, then plain columns.
-PLACE = (
-    T.StructType()
-    .add("__schema", T.IntegerType())
-    .add("__topic", T.StringType())
-    .add("__partition", T.IntegerType())
-    .add("__segment", T.LongType())
-)
+# Helper columns beside the record; the schema's version is a folder.
+PLACE = T.StructType().add("__topic", T.StringType()).add("__partition", T.IntegerType()).add("__segment", T.LongType())
 COUNTED = T.StructType([T.StructField(n, T.LongType()) for n in ("__offset", "__bytes", "__ts")])
 NOTHING = "__nothing"
 MOST_TOPICS = 1000
@@ -114,7 +110,7 @@ class Store:
         last = self.log.last()
         version = self._version(last, version)
         record = last.written[version]
-        schema = T.StructType([*record, *COUNTED, *PLACE]).add("__batch", T.LongType())
+        schema = T.StructType([*record, *COUNTED, *PLACE]).add("__batch", T.LongType()).add("__schema", T.IntegerType())
         df = self.spark.read.schema(schema).parquet(f"{self.path}/data")
         batch = F.col("__batch")
         done = reduce(Column.__or__, [batch.between(a, b) for a, b in last.published])
@@ -251,7 +247,8 @@ def _publish(
     written = [] if last is None else list(last.written)
     written += [T.StructType()] * (len(versions) - len(written))
     size = row_group_bytes_for(options.row_group_bytes, options.max_bytes)
-    mode, tables = "overwrite", {} if last is None else dict(last.tables)
+    tables = {} if last is None else dict(last.tables)
+    delete_folder(spark, data)
     for rows, version in valid:
         out = explode_rows(_placed(rows, cut, parts), options)
         record = T.StructType([f for f in out.schema[VALUE].dataType if f.name != NOTHING])
@@ -260,10 +257,9 @@ def _publish(
         out = out.select(
             *[F.col(f"{VALUE}.{quote(f.name)}") for f in record],
             F.col("offset").alias("__offset"), "__bytes", F.unix_millis("timestamp").alias("__ts"),
-            F.lit(version).alias("__schema"), *[F.col(n[2:]).alias(n) for n in PLACE.names[1:]],
+            *[F.col(n[2:]).alias(n) for n in PLACE.names],
         )
-        parquet_writer(out, mode, size).partitionBy(*PLACE.names).parquet(data)
-        mode = "append"
+        parquet_writer(out, "append", size).parquet(f"{data}/__schema={version}")
     if options.keys:
         for version in sorted({v for _, v in valid}):
             if written[version]:
@@ -299,7 +295,7 @@ def _merge(
 ) -> None:
     """Merge what the batch wrote into the keyed table of a version."""
     schema = T.StructType([*record, *COUNTED, *PLACE])
-    new = spark.read.schema(schema).parquet(data).filter(F.col("__schema") == version)
+    new = spark.read.schema(schema).parquet(f"{data}/__schema={version}")
     new = new.withColumn("__batch", F.lit(batch).cast("bigint"))
     new = new.select(*[quote(f.name) for f in record], *TIEBREAK)
     table = keyed_table(spark, path, options, version)
