@@ -708,10 +708,10 @@ def resume(spark, sf_dir):
 @query(TOPIC_SQL + MANIFEST_SQL + """
 SELECT topic, "partition", segment, "offset", props AS value FROM s""")
 def segment_files(spark, sf_dir):
-    """Write segments to Parquet and read them back."""
+    """Write segments to Parquet and read them back; at 100 rows each they share files."""
     path = scratch(spark, "segments")
     rows = seg.segment(events_topic(spark, sf_dir), max_records=RECORDS).drop("timestamp")
-    write_segments(rows, path, row_group_bytes=1 << 20)
+    write_segments(rows, path, row_group_bytes=1 << 20, shared=True)
     schema = "value string, offset bigint, topic string, partition int, segment bigint"
     return spark.read.schema(schema).parquet(path)
 

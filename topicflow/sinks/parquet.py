@@ -41,14 +41,20 @@ def write_segments(
     mode: str = "append",
     row_group_bytes: int | None = None,
     max_bytes: int | None = None,
+    shared: bool = False,
 ) -> None:
     """One folder per topic, partition and segment.
 
+    With ``shared`` segments of a topic-partition share its folder and files, in order, and
+    ``segment`` is a column there: for segments too short to be worth a file each.
     No shuffle here: segmented rows already lie together by topic, partition
     and offset block, so a long segment is written by several tasks.
     """
     size = row_group_bytes_for(row_group_bytes, max_bytes)
-    parquet_writer(df, mode, size).partitionBy(*PARTITIONS).parquet(path)
+    folders = PARTITIONS
+    if shared:
+        folders, df = PARTITIONS[:2], df.sortWithinPartitions(*PARTITIONS)
+    parquet_writer(df, mode, size).partitionBy(*folders).parquet(path)
 
 
 def write_dead_letters(df: DataFrame, path: str, mode: str = "append") -> None:
