@@ -938,16 +938,19 @@ def stream_of(spark, sf_dir, name):
 @query(TOPIC_SQL + MANIFEST_SQL + """
 SELECT topic, "partition", segment, first_offset, last_offset, bytes, rows FROM manifest WHERE closed""")
 def closed_segments_stream(spark, sf_dir):
-    """Four micro-batches of one growing topic."""
+    """Four micro-batches of one growing topic.
+
+    A topic grows in the order of its offsets, files of one write have no order: the stream
+    goes on after each write, and takes all of its files as one micro-batch.
+    """
     path, events = scratch(spark, "closed"), table(spark, sf_dir, "events")
     most = events.agg(F.max("event_id")).first()[0]
+    options, size = Options(max_records=RECORDS), value_size()
     for i in range(4):
         some = events.filter(F.expr(f"event_id * 4 div {most + 1}") == i)
         some.write.mode("append").parquet(f"{path}/events")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/events")
-    options = Options(max_records=RECORDS)
-    size = value_size()
-    track_segments(as_events_topic(stream), f"{path}/out", options, f"{path}/check", size).awaitTermination()
+        stream = as_events_topic(spark.readStream.schema(events.schema).parquet(f"{path}/events"))
+        track_segments(stream, f"{path}/out", options, f"{path}/check", size).awaitTermination()
     closed = Store(spark, f"{path}/out").manifest(options).filter("closed")
     return closed.select("topic", "partition", "segment", "first_offset", "last_offset", "bytes", "rows")
 
