@@ -9,6 +9,7 @@ and get a reason in ``_invalid``; the original payload stays in ``raw`` when
 from __future__ import annotations
 
 import json
+import re
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -22,6 +23,7 @@ from topicflow.session import materialise
 
 CORRUPT = "_corrupt_payload"
 PARSED = "__parsed"
+FORM = "__form"
 EMPTY_KEY = "empty key"
 NOT_AN_OBJECT = "payload is not an object"
 EMPTY_OBJECT = "payload is an empty object"
@@ -248,6 +250,64 @@ def _document_json(text: str | None) -> str | None:
         return None
 
 
+class XmlTemplates:
+    """JSON of XML documents; those that differ in plain values only are parsed once.
+
+    A plain value is text or an attribute's text, or a part of it, that starts with no space
+    and holds no markup, quote, backslash or control character.  Such values come out as
+    they went in, so the JSON of a document with marks in their places serves for all
+    documents that are equal but for them.  A document with anything special is parsed.
+    """
+
+    OPEN, CLOSE = "\ue000", "\ue001"
+    KEPT = 1000
+    LONGEST = 10_000
+    MARK = re.compile(f"{OPEN}([0-9]+){CLOSE}")
+    _NOT = r"<>\"'&\\\\\x00-\x1f\ud800-\udfff\ufffe\uffff"
+    VALUE = re.compile(f'(?<=[">])([^\\s{_NOT}][^{_NOT}]*)(?=["<])')
+    SPECIAL = ("<!", "<?", "xmlns", OPEN, CLOSE)
+
+    def __init__(self) -> None:
+        #: By what is around the values: None when met once, then the template.
+        self.known: dict[str, tuple[str, tuple[int, ...] | None, str] | None] = {}
+
+    def json(self, text: str | None) -> str | None:
+        return self.json_and_form(text)[0]
+
+    def json_and_form(self, text: str | None) -> tuple[str | None, str | None]:
+        """The JSON, and where a template made it the JSON without the values."""
+        if text is None or len(text) > self.LONGEST:
+            return _document_json(text), None
+        for special in self.SPECIAL:
+            if special in text:
+                return _document_json(text), None
+        parts = self.VALUE.split(text)
+        around, values = self.OPEN.join(parts[::2]), parts[1::2]
+        found = self.known.get(around)
+        if found is None:
+            # one that was met only once is not worth a template
+            if len(self.known) >= self.KEPT:
+                self.known.clear()
+            found = self.known[around] = self.template(parts[::2]) if around in self.known else None
+            if found is None:
+                return _document_json(text), None
+        whole, order, form = found
+        return whole % (tuple(values) if order is None else tuple([values[i] for i in order])), form
+
+    def template(self, around: list[str]) -> tuple[str, tuple[int, ...] | None, str] | None:
+        """Format of the JSON, the order of the values in it, and the JSON without them."""
+        marked = [f"{part}{self.OPEN}{i}{self.CLOSE}" for i, part in enumerate(around[:-1])]
+        found = _document_json("".join(marked) + around[-1])
+        if found is None:
+            return None
+        parts = self.MARK.split(found)
+        order = [int(i) for i in parts[1::2]]
+        if sorted(order) != list(range(len(around) - 1)):
+            return None
+        whole = "%s".join(p.replace("%", "%%") for p in parts[::2])
+        return whole, None if order == sorted(order) else tuple(order), "".join(parts[::2])
+
+
 @F.pandas_udf(T.StringType())
 def xml_to_json(text: pd.Series) -> pd.Series:
     """JSON text of XML documents; null where a document is malformed.
@@ -255,11 +315,30 @@ def xml_to_json(text: pd.Series) -> pd.Series:
     Spark's own ``from_xml`` has no way to express lists that mix text and
     elements, nor text beside attributes, so Arrow batches go through Python.
     """
-    return text.map(_document_json)
+    of = XmlTemplates().json
+    return pd.Series([of(t) for t in text], text.index, object)
 
 
-# a plain function could be pushed into filters and then run twice per row
+@F.pandas_udf(T.StructType().add("json", T.StringType()).add("form", T.StringType()))
+def xml_to_json_and_form(text: pd.Series) -> pd.DataFrame:
+    """As ``xml_to_json``, with what ``XmlTemplates`` knows to have the same fields and types."""
+    of = XmlTemplates().json_and_form
+    found = [of(t) for t in text]
+    columns = {"json": [json for json, _ in found], "form": [form for _, form in found]}
+    return pd.DataFrame(columns, text.index, dtype=object)
+
+
+# plain functions could be pushed into filters and then run twice per row
 xml_to_json = xml_to_json.asNondeterministic()
+xml_to_json_and_form = xml_to_json_and_form.asNondeterministic()
+
+
+def _infer_xml(df: DataFrame, column: str, **how: bool) -> T.StructType:
+    """Schema of JSON in ``column``; rows of one ``FORM`` have one shape, so each counts once."""
+    first = (F.col("offset") if "offset" in df.columns else F.lit(0)).cast("bigint")
+    rows = df.select(F.col(column).alias("value"), FORM, first.alias("offset"))
+    forms = rows.filter(F.col(FORM).isNotNull()).groupBy(F.col(FORM).alias("value")).agg(F.min("offset").alias("offset"))
+    return infer_schema(forms.unionByName(rows.filter(F.col(FORM).isNull()).drop(FORM)), **how)
 
 
 def decode_xml(
@@ -279,10 +358,15 @@ def decode_xml(
     """
     if keep_raw:
         df = df.withColumn(keep_raw, F.col(column))
-    df = df.withColumn(column, xml_to_json(F.col(column).cast("string")))
     if schema is None:
         # inference and decoding both read the JSON, so make it once
-        df = materialise(df)
+        both = xml_to_json_and_form(F.col(column).cast("string"))
+        df = df.withColumn(FORM, both)
+        df = materialise(df.withColumns({column: F.col(FORM)["json"], FORM: F.col(FORM)["form"]}))
+        schema = _infer_xml(df, column, discard_collections=discard_collections, mixed=mixed)
+        df = df.drop(FORM)
+    else:
+        df = df.withColumn(column, xml_to_json(F.col(column).cast("string")))
     df = add_reason(df, F.when(F.col(column).isNull(), F.lit("malformed XML")))
     return decode_json(df, schema, column, discard_collections, mixed=mixed)
 
