@@ -1,17 +1,20 @@
 """Language-model scores from Brown classes: exchange clustering and class bigrams.
 
-The ``clustered`` most frequent words get one of ``classes`` classes; all others
-share one more.  Bigrams of those words are counted over the whole training part.
-Exchange clustering starts from classes by rank; in each round a third of the
-words may move to the class that raises the likelihood of the class bigrams most,
-evaluated on the executors with the words' contexts dealt by word, and a round
-that lowers the likelihood ends it.  A token's probability is that of its class after
-the class before it, smoothed towards the class's own frequency, times that of
-the word in its class.
-
-Counts of the ``frequent`` most frequent words go to every task (a table of
-bounded size); those of all other words are joined, one row per document and
-word, so the vocabulary has no limit.
+Every word of the training part has one of ``classes`` classes.  The ``clustered`` most
+frequent words settle them by exchange: starting from classes by rank, in each round a
+third of the words may move to the class that raises the likelihood of the class bigrams
+most, evaluated on the executors with the words' contexts dealt by word, and a round
+that lowers the likelihood ends it.  Then every other word, however rare, is placed: with
+the classes around all its occurrences, in the class whose counts raise the likelihood
+most per occurrence (words without a class yet are one class more there).  Class bigrams
+are counted again over the classes of all words.  A token's probability is that of its
+class after the class before it, smoothed towards the class's own frequency, times that
+of the word in its class, half a count added to each word and to one unknown word.  Words
+that training did not have stand in the class of the most words.
+
+Counts and classes of the ``frequent`` most frequent words go to every task (a table of
+bounded size); those of all other words are joined, one row per occurrence, so the
+vocabulary has no limit.
 
 The base score is the unigram one with half a count added.  Null texts are empty
 and have the end token alone; a text of spaces too.  Rows with null or repeated
@@ -249,77 +252,207 @@ def exchange(bigrams: DataFrame, words: int, classes: int, rounds: int) -> tuple
     return best[1], best[2]
 
 
-# ------------------------------------------------------------------ scoring
+# ------------------------------------------------------------------ all other words
+
+
+def code_type(classes: int) -> np.dtype:
+    """Classes of tokens are held in as few bytes as ``classes`` + 1 numbers need."""
+    return np.dtype(np.uint8 if classes < 255 else np.uint16)
+
+
+def contexts(class_of: dict[bytes, int], classes: int):
+    """Words outside ``class_of`` with the classes before and after each occurrence.
+
+    A word without a class counts as class ``classes``; before the first is the end token.
+    """
+    schema = pa.schema([("word", pa.binary()), ("codes", pa.binary())])
+    kind = code_type(classes)
+    pair = 2 * kind.itemsize
 
+    def rows(held):
+        return batch_of(schema, list(held), [bytes(codes) for codes in held.values()])
 
-class Model:
-    """All that a task needs to score the frequent words of a text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get, start, held = class_of.get, class_of.get(END, classes), {}
+        for batch in slices(batches):
+            for text in batch.column("text").to_pylist():
+                words = tokens(text)
+                of = np.array([start, *[get(w, classes) for w in words], start], kind)
+                around = np.stack([of[:-2], of[2:]], 1).tobytes()
+                for i in np.nonzero(of[1:-1] == classes)[0].tolist():
+                    codes = held.get(words[i])
+                    if codes is None:
+                        held[words[i]] = bytearray(around[i * pair : i * pair + pair])
+                    else:
+                        codes += around[i * pair : i * pair + pair]
+            if len(held) > HELD:
+                yield rows(held)
+                held = {}
+        if held:
+            yield rows(held)
 
-    def __init__(self, count, number, of, pairs, train_tokens, distinct, other_tokens, other_distinct):
-        self.count, self.number, self.of = count, number, of
-        self.tokens, self.distinct = train_tokens, distinct
-        self.base_log = math.log10(train_tokens + 0.5 * (distinct + 1))
-        self.other_log = math.log10(other_tokens + 0.5 * (other_distinct + 1))
-        own = pairs.sum(0) + 0.5
-        own /= own.sum()
-        from_ = pairs.sum(1, keepdims=True)
-        self.step = np.log10((pairs + BACKOFF * own[None, :]) / (from_ + BACKOFF))
-        sizes = np.zeros(len(pairs))
-        for word, i in number.items():
-            sizes[of[i]] += count[word]
-        self.emit = {w: math.log10(count[w]) - math.log10(sizes[of[i]]) for w, i in number.items()}
+    return run
 
-    def base(self, c: int) -> float:
-        return math.log10(c + 0.5) - self.base_log
 
-    def other(self, c: int) -> float:
-        return math.log10(c + 0.5) - self.other_log
+def context_classes(before: np.ndarray, after: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Class of each word by how often each class stands before and after it.
 
+    The class of the largest first-order gain: how much the likelihood of the class bigrams
+    rises by the word's counts where they are small beside the class's own.
+    """
+    k = len(pairs) - 1
+    pairs = pairs + 0.5
+    size = (pairs.sum(0) + pairs.sum(1))[:k] / 2
+    gain = before @ np.log(pairs[:, :k]) + after @ np.log(pairs[:k].T)
+    return np.argmax(gain - 2 * before.sum(1, keepdims=True) * np.log(size), 1)
+
+
+def place_words(pairs: np.ndarray):
+    """Rows (word, codes) sorted by word: one row per word with its count and class."""
+    schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("class", pa.int32())])
+    k = len(pairs) - 1
+    kind, most, long = code_type(k), 4096, 1 << 22
+
+    def close(words, codes):
+        n = np.array([len(c) for c in codes]) // (2 * kind.itemsize)
+        around = np.frombuffer(b"".join(codes), kind).reshape(-1, 2)
+        at = np.repeat(np.arange(len(words)) * (k + 1), n)
+        sides = [np.bincount(at + around[:, i], minlength=len(words) * (k + 1)) for i in (0, 1)]
+        found = context_classes(*[x.reshape(len(words), k + 1).astype(float) for x in sides], pairs)
+        return batch_of(schema, words, n.astype(np.int64), found.astype(np.int32))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, codes, own, size = [], [], [], 0
+        for batch in batches:
+            for word, c in zip(batch.column("word").to_pylist(), batch.column("codes").to_pylist()):
+                if words and words[-1] == word:
+                    own.append(c)
+                else:
+                    if words:
+                        codes.append(b"".join(own))
+                        if len(words) >= most or size > long:
+                            yield close(words, codes)
+                            words, codes, size = [], [], 0
+                    words.append(word)
+                    own = [c]
+                size += len(c)
+        if words:
+            codes.append(b"".join(own))
+            yield close(words, codes)
+
+    return run
+
+
+def filled(classes: int):
+    """Rows with the classes of all tokens: those of joined words go to their places."""
+    kind = code_type(classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for codes, places in zip(batch.column("codes").to_pylist(), batch.column("places")):
+                if places.is_valid:
+                    at = places.values.to_numpy(zero_copy_only=False)
+                    of = np.frombuffer(codes, kind).copy()
+                    of[at >> 16] = at & 0xFFFF
+                    codes = of.tobytes()
+                out.append(codes)
+            names = [n for n in batch.schema.names if n not in ("codes", "places")]
+            columns = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], [*names, "codes"])
+
+    return run
 
-def score_locally(model_parts: tuple):
-    """Scores of frequent words, and the counts of all others, by document."""
-    rare = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+
+def token_pairs(rows: DataFrame, start: int, k: int) -> np.ndarray:
+    """Counts of class bigrams in ``codes``; tasks send k * k sums at most."""
+    schema = pa.schema([("at", pa.int32()), ("n", pa.int64())])
+    kind = code_type(k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(k * k, np.int64)
+        for batch in batches:
+            for codes in batch.column("codes").to_pylist():
+                of = np.frombuffer(codes, kind).astype(np.int64)
+                sums += np.bincount(np.concatenate([[start], of[:-1]]) * k + of, minlength=k * k)
+        seen = np.nonzero(sums)[0]
+        yield batch_of(schema, seen.astype(np.int32), sums[seen])
+
+    out = np.zeros(k * k)
+    for row in rows.select("codes").mapInArrow(run, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[row["at"]] = row["n"]
+    return out.reshape(k, k)
+
+
+# ------------------------------------------------------------------ scoring
+
+
+def score_locally(count, class_of, size, distinct, open_class, base_log):
+    """Scores of frequent words in their classes, the classes, and all other words by place."""
+    rare = pa.list_(pa.struct([("place", pa.int32()), ("word", pa.binary())]))
     schema = pa.schema(
         [
             ("row", pa.int64()),
             ("doc_id", pa.int64()),
+            ("training", pa.bool_()),
             ("n_tokens", pa.int64()),
             ("n_known", pa.int64()),
             ("base", pa.float64()),
             ("score", pa.float64()),
+            ("codes", pa.binary()),
             ("rare", rare),
         ]
     )
+    kind = code_type(len(size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*model_parts)
-        number, of, emit, count = model.number, model.of, model.emit, model.count
-        last = len(model.step) - 1
-        class_of = {w: int(of[i]) for w, i in number.items()}
-        known = {w: (model.base(c), emit.get(w) if w in emit else model.other(c)) for w, c in count.items()}
+        logs = np.log10(size + 0.5 * (distinct + 1))
+        known = {
+            w: (math.log10(c + 0.5) - base_log, math.log10(c + 0.5) - float(logs[class_of[w]]))
+            for w, c in count.items()
+        }
+        get = class_of.get
         row = TaskContext.get().partitionId() << 33
         for batch in slices(batches):
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "training", "text")]
+            for doc_id, training, text in zip(*columns):
                 words = tokens(text)
-                classes = np.array([class_of.get(END, last), *[class_of.get(w, last) for w in words]])
-                score = float(model.step[classes[:-1], classes[1:]].sum())
-                base, seen, rest = 0.0, 0, []
+                codes = np.array([get(w, open_class) for w in words], kind).tobytes()
+                score, base, seen, rest = 0.0, 0.0, 0, set()
                 for w, n in Counter(words).items():
-                    logs = known.get(w)
-                    if logs is None:
-                        rest.append({"word": w, "n": n})
+                    both = known.get(w)
+                    if both is None:
+                        rest.add(w)
                     else:
-                        base += n * logs[0]
-                        score += n * logs[1]
+                        base += n * both[0]
+                        score += n * both[1]
                         seen += n
-                rows.append((row, doc_id, len(words), seen, base, score, rest))
+                places = [{"place": i, "word": w} for i, w in enumerate(words) if w in rest] if rest else []
+                rows.append((row, doc_id, training, len(words), seen, base, score, codes, places))
                 row += 1
             yield batch_of(schema, *zip(*rows))
 
     return run
 
 
+def add_steps(step: np.ndarray, start: int):
+    """Rows (…, score, codes) with the scores of the class bigrams added."""
+    kind = code_type(len(step))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = []
+            for score, codes in zip(batch.column("score").to_pylist(), batch.column("codes").to_pylist()):
+                of = np.frombuffer(codes, kind).astype(np.int64)
+                scores.append(score + float(step[np.concatenate([[start], of[:-1]]), of].sum()))
+            names = [n for n in batch.schema.names if n not in ("score", "codes")]
+            columns = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], [*names, "score"])
+
+    return run
+
+
 def score_texts(
     docs: DataFrame,
     training: Column,
@@ -334,6 +467,8 @@ def score_texts(
 
     ``training`` says of each row of ``docs`` whether the model learns from it.
     """
+    if not 1 <= classes < 1 << 16:
+        raise ValueError("classes must be between 1 and 65535")
     spark = docs.sparkSession
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -348,8 +483,11 @@ def score_texts(
         "vocabulary",
     )
     total = vocabulary.agg(F.sum("n"), F.count("*")).first()
-    train_tokens, distinct = int(total[0] or 0), int(total[1])
+    train_tokens, all_words = int(total[0] or 0), int(total[1])
     count = most_frequent(vocabulary, frequent)
+    least = min(count.values(), default=train_tokens + 1)
+    if train_tokens and END not in count:
+        count[END] = vocabulary.where(F.col("word") == F.lit(bytearray(END))).first()["n"]
     number = {w: i for i, w in enumerate(list(count)[:clustered])}
     if END in count and END not in number:
         number[END] = len(number)
@@ -357,37 +495,71 @@ def score_texts(
     bigrams = learn.mapInArrow(count_bigrams(number, len(number)), "a int, b int, n bigint")
     bigrams = stage(bigrams.groupBy("a", "b").agg(F.sum("n").alias("n")), "bigrams")
     of, pairs = exchange(bigrams, len(number), classes, rounds)
-    inside = sum(count[w] for w in number)
-    parts = (count, number, of, pairs, train_tokens, distinct, train_tokens - inside, distinct - len(number))
-    model = Model(*parts)
+    class_of = {w: int(of[i]) for w, i in number.items()}
+
+    # a word outside the clustered ones has a bounded share of the tokens, and so has its task
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = learn.mapInArrow(contexts(class_of, classes), "word binary, codes binary")
+    found = found.repartition(n, "word").sortWithinPartitions("word")
+    placed = stage(found.mapInArrow(place_words(pairs), "word binary, n bigint, class int"), "placed")
+    size, distinct = np.zeros(classes), np.zeros(classes)
+    for w, i in class_of.items():
+        size[i] += count[w]
+        distinct[i] += 1
+    for r in placed.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
+        size[r["class"]] += r["n"]
+        distinct[r["class"]] += r["words"]
+    for r in placed.where(F.col("n") >= least).select("word", "class").collect():
+        class_of[bytes(r["word"])] = r["class"]
+    open_class = int(np.argmax(distinct))
+    start = class_of.get(END, open_class)
+    base_log = math.log10(train_tokens + 0.5 * (all_words + 1))
 
     schema = (
-        "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double, "
-        "rare array<struct<word:binary,n:bigint>>"
+        "row bigint, doc_id bigint, training boolean, n_tokens bigint, n_known bigint, base double, "
+        "score double, codes binary, rare array<struct<place:int,word:binary>>"
     )
-    shared = spark.sparkContext.broadcast(parts)  # bounded by ``frequent`` words
+    # bounded by ``frequent`` words
+    shared = spark.sparkContext.broadcast((count, class_of, size, distinct, open_class, base_log))
 
     def score(batches):
-        return score_locally(shared.value)(batches)
-
-    local = stage(rows.select("doc_id", "text").mapInArrow(score, schema), "scores")
-    rare = local.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    rare = rare.join(vocabulary.select("word", F.col("n").alias("c")), "word", "left").select(
+        return score_locally(*shared.value)(batches)
+
+    local = stage(rows.select("doc_id", "training", "text").mapInArrow(score, schema), "scores")
+    rare = local.select("row", F.explode("rare").alias("x")).select("row", "x.place", "x.word")
+    logs = F.array(*[F.lit(float(x)) for x in np.log10(size + 0.5 * (distinct + 1))])
+    own = F.coalesce(F.col("class"), F.lit(open_class))
+    c = F.coalesce(F.col("n"), F.lit(0))
+    rare = rare.join(placed, "word", "left").select(
         "row",
-        F.when(c > 0, F.col("n")).otherwise(0).alias("known"),
-        (F.col("n") * (F.log10(c + 0.5) - model.base_log)).alias("base"),
-        (F.col("n") * (F.log10(c + 0.5) - model.other_log)).alias("score"),
+        (c > 0).cast("long").alias("known"),
+        (F.log10(c + 0.5) - base_log).alias("base"),
+        (F.log10(c + 0.5) - F.get(logs, own)).alias("score"),
+        (F.shiftleft(F.col("place").cast("long"), 16) + own).alias("place"),
     )
     rare = rare.groupBy("row").agg(
-        F.sum("known").alias("known_"), F.sum("base").alias("base_"), F.sum("score").alias("score_")
+        F.sum("known").alias("known_"), F.sum("base").alias("base_"), F.sum("score").alias("score_"),
+        F.collect_list("place").alias("places"),
     )
     zero = F.lit(0)
-    return local.drop("rare").join(rare, "row", "left").select(
+    whole = local.drop("rare").join(rare, "row", "left").select(
         "doc_id",
+        "training",
         "n_tokens",
         (F.col("n_known") + F.coalesce("known_", zero)).alias("n_known"),
-        F.lit(train_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("base_", zero)).alias("base_score"),
         (F.col("score") + F.coalesce("score_", zero)).alias("score"),
+        "codes",
+        "places",
+    )
+    kept = "doc_id bigint, training boolean, n_tokens bigint, n_known bigint, base_score double, "
+    whole = stage(whole.mapInArrow(filled(classes), kept + "score double, codes binary"), "classes")
+
+    pairs = token_pairs(whole.where("training"), start, classes)
+    share = pairs.sum(0) + 0.5
+    share /= share.sum()
+    step = np.log10((pairs + BACKOFF * share[None, :]) / (pairs.sum(1, keepdims=True) + BACKOFF))
+    scored = whole.mapInArrow(add_steps(step, start), kept + "score double")
+    return scored.select(
+        "doc_id", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
