@@ -1,7 +1,7 @@
 """Documents to packed token sequences: toxicity, near-dedup, decontamination, PII, packing.
 
-Near-dedup proposes pairs by MinHash keys and checks their shingles exactly; fingerprints
-of SimHash at a few bits miss most pairs at a similarity of 0.8.  Null texts count as empty:
+Near-dedup proposes pairs by SimHash fingerprints, joined on segment popcounts, and by MinHash
+keys those that fingerprints at a few bits miss, and checks their shingles exactly.  Null texts count as empty:
 they pass toxicity by the classifier's bias, empty ones are copies of each other, and one
 stays as a sequence piece of a single end id.  Rows with null or repeated ids are documents
 of their own, ties keep the smallest id, texts of any length are read whole, extra columns

@@ -91,3 +91,32 @@ def test_band_keys_find_pairs_at_the_limit():
         assert abs(len(np.intersect1d(a, b)) / len(np.union1d(a, b)) - 0.8) < 0.01
         missed += not (near_copies.band_keys(a) == near_copies.band_keys(b)).any()
     assert missed == 0
+
+
+def test_fingerprints_propose_candidates_without_band_keys(spark):
+    # no two share a band key, so only the round of fingerprints can link the near copies
+    rng = random.Random(8)
+    texts = []
+    for i in range(6):
+        body = words(rng, 3000)
+        texts += [" ".join(body), " ".join([*body[:-2], f"x{i}", "y"])]
+    sets = [near_copies.shingle_set(t, 5) for t in texts]
+    ids = [near_copies.set_id(s) for s in sets]
+    prints = [near_copies.fingerprint(s) for s in sets]
+    schema = "set bigint, at bigint, fp bigint, bands array<bigint>"
+    classes = spark.createDataFrame([(s, i, prints[i], [i]) for i, s in enumerate(ids)], schema)
+    frame = spark.createDataFrame(list(enumerate(texts)), "row bigint, text string")
+    keys = near_copies.fingerprint_keys(classes.select("set", "fp"))
+    links = near_copies.near_links(classes, frame, 5, 0.8, prints=keys).collect()
+    bits = [((prints[i] ^ prints[i + 1]) & (1 << 64) - 1).bit_count() for i in range(0, 12, 2)]
+    near = {frozenset(ids[2 * i : 2 * i + 2]) for i, n in enumerate(bits) if n <= near_copies.DISTANCE}
+    assert len(near) >= 4
+    assert {frozenset((r.a, r.b)) for r in links} == near
+
+
+def test_the_stage_links_by_the_range_join(spark, rows, monkeypatch):
+    seen, join = [], near_copies.simhash.near_links
+    monkeypatch.setattr(near_copies.simhash, "near_links", lambda fps, *a: seen.append(fps.count()) or join(fps, *a))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == expected(rows)
+    assert len(seen) == 1 and seen[0] > 100

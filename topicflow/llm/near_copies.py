@@ -1,16 +1,22 @@
-"""Near copies by the similarity of their sets of shingles: MinHash candidates, exact check.
+"""Near copies by the similarity of their sets of shingles: SimHash, then MinHash, exact check.
 
 A text is the set of its runs of ``width`` words (of all words if there are fewer), as
 64-bit hashes; two texts are near copies if their sets have a Jaccard similarity of
 ``similarity`` or more.  Equal sets are one node, whatever the number of documents.
-Candidates share one of BANDS keys made of ROWS minima each, so a pair at 0.8 is missed
-once in 300,000 pairs and closer ones less often; every candidate is checked exactly.
 
-A bucket of equal keys gives no pairs of all its members.  Each is first checked
-against the smallest one; buckets whose other members are not in one component after
-that are compared in full inside tasks, in pairs of salted parts if they are large.
-Buckets with the same members count once.  Only texts that have a candidate send
-their sets.
+Two rounds propose candidates, and every candidate is checked exactly.  First come those
+whose SimHash fingerprints are linked at DISTANCE bits or fewer by the range join of
+``simhash.py`` on segment popcounts: a component of fingerprints is a bucket.  At a
+similarity of 0.8 fingerprints differ in about ten bits, more than that join can afford,
+so a second round finds what is not joined yet: its candidates share one of BANDS keys
+made of ROWS minima each, by which a pair at 0.8 is missed once in 300,000 pairs and
+closer ones less often.
+
+A bucket gives no pairs of all its members.  Each is first checked against the smallest
+one, unless a round before has joined them; buckets whose other members are not in one
+component after that are compared in full inside tasks, in pairs of salted parts if they
+are large.  Buckets with the same members count once.  Only texts that have a candidate
+send their sets.
 
 Null and empty texts, and texts of spaces, have the empty set and are copies of each
 other.  Of a component the row with the smallest id stays, the first of those as they
@@ -22,19 +28,23 @@ gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topicflow.llm import simhash
 from topicflow.llm.common import batch_of, numbered, slices, stage
 from topicflow.llm.components import components
-from topicflow.llm.simhash import Joined, shingle_hashes
+from topicflow.llm.simhash import Joined, fingerprint, shingle_hashes
 
 WIDTH = 5
 SIMILARITY = 0.8
 SEED = 42
+#: Differing bits of fingerprints; the range join does the same work for 4 as for 5.
+DISTANCE = 5
 BANDS, ROWS = 32, 5
 #: Members of a bucket that a task holds at most twice over.
 PART_ROWS = 1 << 9
@@ -73,14 +83,20 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
 
 def sketch(width: int):
     schema = pa.schema(
-        [("row", pa.int64()), ("doc_id", pa.int64()), ("set", pa.int64()), ("bands", pa.list_(pa.int64()))]
+        [
+            ("row", pa.int64()),
+            ("doc_id", pa.int64()),
+            ("set", pa.int64()),
+            ("fp", pa.int64()),
+            ("bands", pa.list_(pa.int64())),
+        ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [shingle_set(t or "", width) for t in batch.column("text").to_pylist()]
-            bands = [band_keys(s) for s in sets]
-            yield batch_of(schema, batch.column("row"), batch.column("doc_id"), [set_id(s) for s in sets], bands)
+            ids, fps, bands = ([f(s) for s in sets] for f in (set_id, fingerprint, band_keys))
+            yield batch_of(schema, batch.column("row"), batch.column("doc_id"), ids, fps, bands)
 
     return run
 
@@ -156,32 +172,70 @@ def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(named, "set", "left").withColumn("root", F.coalesce("root", "set"))
 
 
-def near_links(
-    classes: DataFrame, texts: DataFrame, width: int, similarity: float, part_rows: int = PART_ROWS
-) -> DataFrame:
-    """Links (a, b) that connect sets exactly as all checked candidates would.
+def fingerprint_keys(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(set, key): sets share a key if links of ``distance`` bits or fewer join their fingerprints.
 
-    ``classes``: (set, at, bands), ``at`` being a row of ``texts`` (row, text) that has the set.
+    ``classes``: (set, fp).  The links are those of the range join on segment popcounts.
     """
-    spread = classes.select("set", F.explode("bands").alias("key"))
-    keys = spread.groupBy("key").agg(
+    fps = stage(classes.select("fp").distinct(), "fingerprints")
+    roots = components(simhash.near_links(fps, distance)).withColumnRenamed("node", "fp")
+    return classes.join(roots, "fp", "left").select("set", F.coalesce("root", "fp").alias("key"))
+
+
+def buckets_of(keyed: DataFrame) -> DataFrame:
+    """(set, key) to (key, n, center, set) of keys with several sets, those with the same ones once."""
+    keys = keyed.groupBy("key").agg(
         F.count("*").alias("n"),
         F.min("set").alias("center"),
         F.max("set").alias("last"),
         F.bit_xor(F.xxhash64("set")).alias("members"),
     )
     keys = keys.where("n > 1").groupBy("n", "center", "last", "members").agg(F.min("key").alias("key"))
-    buckets = stage(spread.join(keys, "key").select("key", "n", "center", "set"), "buckets")
-    named = classes.select("set", F.col("at").alias("row")).join(buckets.select("set").distinct(), "set")
+    return stage(keyed.join(keys, "key").select("key", "n", "center", "set"), "buckets")
+
+
+def near_links(
+    classes: DataFrame,
+    texts: DataFrame,
+    width: int,
+    similarity: float,
+    part_rows: int = PART_ROWS,
+    prints: DataFrame | None = None,
+) -> DataFrame:
+    """Links (a, b) that connect sets exactly as all checked candidates would.
+
+    ``classes``: (set, at, bands), ``at`` being a row of ``texts`` (row, text) that has the set.
+    ``prints``: (set, key), as ``fingerprint_keys`` gives them; their round comes first.
+    """
+    rounds = [] if prints is None else [buckets_of(prints)]
+    rounds.append(buckets_of(classes.select("set", F.explode("bands").alias("key"))))
+    wanted = reduce(DataFrame.unionAll, [buckets.select("set") for buckets in rounds]).distinct()
+    named = classes.select("set", F.col("at").alias("row")).join(wanted, "set")
     sets = texts.join(named, "row").select("set", "text")
     sets = stage(sets.mapInArrow(shingle_sets(width), "set bigint, shingles array<bigint>"), "sets")
+    links = None
+    for buckets in rounds:
+        links = checked_links(buckets, sets, similarity, part_rows, links)
+    return links
 
+
+def checked_links(
+    buckets: DataFrame, sets: DataFrame, similarity: float, part_rows: int, known: DataFrame | None = None
+) -> DataFrame:
+    """``known`` links and those that connect the members of each bucket as all its pairs would."""
     pairs = buckets.where("set != center").select(F.col("center").alias("a"), F.col("set").alias("b")).distinct()
+    if known is not None:
+        roots = stage(components(known), "links")
+        ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"]
+        pairs = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
+        # without a root a set stands alone
+        pairs = pairs.where("coalesce(root_a, a) != coalesce(root_b, b)").select("a", "b")
     left = sets.select(F.col("set").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("set").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     near = common / (F.size("x") + F.size("y") - common) >= F.lit(similarity)
-    links = stage(pairs.join(left, "a").join(right, "b").where(near).select("a", "b"), "links")
+    links = pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
+    links = stage(links if known is None else known.unionByName(links), "links")
 
     rest = with_roots(buckets.where("n > 2 AND set != center"), stage(components(links), "links"))
     open_ = rest.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
@@ -195,7 +249,7 @@ def near_links(
     )
     cells = rest.select("key", "set", "root", F.explode(dealt).alias("part"))
     cells = cells.select(F.xxhash64("key", "part").alias("cell"), "set", "root").join(sets, "set")
-    n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = cells.select("cell", "set", "root", "shingles").repartition(n, "cell").sortWithinPartitions("cell")
     more = cells.mapInArrow(compare_buckets(similarity), "a bigint, b bigint")
     return stage(links.unionByName(more), "links")
@@ -213,12 +267,14 @@ def drop_near_copies(
     texts = rows.select(F.col(row).alias("row"), F.col(text_col).cast("string").alias("text"))
     found = rows.select(
         F.col(row).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    ).mapInArrow(sketch(width), "row bigint, doc_id bigint, set bigint, bands array<bigint>")
+    ).mapInArrow(sketch(width), "row bigint, doc_id bigint, set bigint, fp bigint, bands array<bigint>")
     found = stage(found, "sketches")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    classes = found.groupBy("set").agg(F.min(place).alias("least"), F.min("bands").alias("bands"))
+    least = [F.min(place).alias("least"), F.min("fp").alias("fp"), F.min("bands").alias("bands")]
+    classes = found.groupBy("set").agg(*least)
     classes = stage(classes.withColumn("at", F.col("least.row")), "sketches")
-    roots = components(near_links(classes, texts, width, similarity))
+    prints = fingerprint_keys(classes.select("set", "fp"))
+    roots = components(near_links(classes, texts, width, similarity, prints=prints))
     placed = with_roots(classes.select("set", "least"), roots)
     first = placed.groupBy("root").agg(F.min("least").alias("first"))
     stays = placed.join(first, "root").select("set", F.col("first.row").alias("stays"))
