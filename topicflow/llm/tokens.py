@@ -2,8 +2,10 @@
 
 Both vocabularies split a text at spaces before they merge anything, so the ids
 of a text are the ids of its pieces, one after the other.  Pieces repeat, hence
-each process keeps the ids of those it has met lately.  A plain word goes to the
-library's BPE model itself, anything else through its whole pipeline.
+each process keeps the ids of those it has met lately, in two generations: when the
+newer one is full it becomes the older, which alone is forgotten, and what is met again
+moves to the newer.  A plain word goes to the library's BPE model itself, anything else
+through its whole pipeline.
 
 The library is told that strings of special tokens in a text are ordinary text, as the
 vocabularies' own description does; a plain call would give them the special id.  A lone
@@ -19,7 +21,7 @@ import unicodedata
 from array import array
 from types import ModuleType
 
-#: A process forgets all pieces beyond so many.
+#: Pieces of a generation; a process keeps two.
 KEPT_PIECES = 500_000
 #: Longer pieces are not kept.
 KEPT_LENGTH = 48
@@ -94,6 +96,7 @@ class Encoder:
         self.letters = byte_letters()
         self.ends = {c: self.whole([c])[0] if c else b"" for c in ("", ".", ",")}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -105,7 +108,7 @@ class Encoder:
         if m is None:
             return None
         space, core, end = m.groups()
-        if end and (ids := self.known.get(space + core)):
+        if end and (ids := self.known.get(space + core) or self.older.get(space + core)):
             return ids + self.ends[end]
         if not core.isascii():
             if max(core) > "ɏ":
@@ -124,7 +127,7 @@ class Encoder:
         return ids + self.ends[end]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known, split, found = self.known, [self.pieces(t) for t in texts], []
+        known, older, split, found = self.known, self.older, [self.pieces(t) for t in texts], []
         missing: set[str] = set()
         for pieces in split:
             ids = list(map(known.get, pieces))
@@ -133,7 +136,9 @@ class Encoder:
             found.append(ids)
         rest, new = [], {}
         for piece in missing:
-            ids = self.word(piece)
+            ids = older.get(piece)
+            if ids is None:
+                ids = self.word(piece)
             if ids is None:
                 rest.append(piece)
             else:
@@ -145,8 +150,8 @@ class Encoder:
                 ids = [new[p] if x is None else x for p, x in zip(pieces, ids)]
             out.append(b"".join(ids))
         if len(known) > KEPT_PIECES:
-            known.clear()
-        known.update((k, v) for k, v in new.items() if len(k) <= KEPT_LENGTH)
+            self.older, self.known = known, {}
+        self.known.update((k, v) for k, v in new.items() if len(k) <= KEPT_LENGTH)
         return out
 
 
