@@ -55,8 +55,10 @@ def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     return stage(docs.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about SLICE_BYTES of text, or of one longer row."""
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, or of one longer row."""
     import numpy as np
 
     for batch in batches:
@@ -69,7 +71,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
         start = 0
         while start < batch.num_rows:
             base = sizes[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(sizes, base + SLICE_BYTES, "right")))
+            end = max(start + 1, int(np.searchsorted(sizes, base + size, "right")))
             yield batch.slice(start, end - start)
             start = end
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicflow.llm.common import batch_of, documents, prefix_totals, slices, stage
-from topicflow.llm.tokens import encoder, id_type
+from topicflow.llm.tokens import BATCH_BYTES, encoder, id_type
 
 LOCAL = pa.schema(
     [
@@ -57,8 +57,8 @@ def tokenize(path: str, end_id: int):
         code, dtype = encoder(path), id_type(path)
         end, width = np.array([end_id], dtype).tobytes(), int(dtype[-1])
         task, place = TaskContext.get().partitionId(), 0
-        for batch in slices(batches):
-            ids = [x + end for x in code.encode(batch.column("text").to_pylist())]
+        for batch in slices(batches, size=BATCH_BYTES):
+            ids = [x + end for x in code.encode(batch.column("text"))]
             sizes = np.array([len(x) // width for x in ids], np.int64)
             before = place + np.concatenate([[0], np.cumsum(sizes)[:-1]])
             place += int(sizes.sum())

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.llm.common import batch_of, documents, new_folder, prefix_totals, slices, stage
-from topicflow.llm.tokens import encoder, id_type
+from topicflow.llm.tokens import BATCH_BYTES, encoder, id_type
 
 SCALE = 20
 LOW = np.uint64(1 << 32)
@@ -164,9 +164,9 @@ def place_documents(path: str, end_id: int, bounds: list[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, end = encoder(path), np.array([end_id], id_type(path)).tobytes()
-        for batch in slices(batches):
+        for batch in slices(batches, size=BATCH_BYTES):
             doc_ids = batch.column("doc_id").to_pylist()
-            ids = [x + end for x in code.encode(batch.column("text").to_pylist())]
+            ids = [x + end for x in code.encode(batch.column("text"))]
             known = np.array([-(1 << 62) if x is None else x for x in doc_ids], np.int64)
             file = np.searchsorted(np.array(bounds, np.int64), known, "left") if bounds else known * 0
             file = [0 if x is None else int(f) for x, f in zip(doc_ids, file)]

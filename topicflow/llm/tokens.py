@@ -1,11 +1,12 @@
 """Tokenizing with the tokenizers library, a piece of text at a time.
 
 Both vocabularies split a text at spaces before they merge anything, so the ids
-of a text are the ids of its pieces, one after the other.  Pieces repeat, hence
-each process keeps the ids of those it has met lately, in two generations: when the
+of a text are the ids of its pieces, one after the other.  Pieces repeat, within a batch
+and beyond.  Arrow cuts a batch of texts and finds its different pieces, and each
+process keeps the ids of those it has met lately, in two generations: when the
 newer one is full it becomes the older, which alone is forgotten, and what is met again
-moves to the newer.  A plain word goes to the library's BPE model itself, anything else
-through its whole pipeline.
+moves to the newer.  Plain words go to the library's BPE model itself, many at a time,
+anything else through its whole pipeline.
 
 The library is told that strings of special tokens in a text are ordinary text, as the
 vocabularies' own description does; a plain call would give them the special id.  A lone
@@ -19,17 +20,31 @@ import re
 import sys
 import unicodedata
 from array import array
+from collections.abc import Sequence
 from types import ModuleType
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Pieces of a generation; a process keeps two.
 KEPT_PIECES = 500_000
 #: Longer pieces are not kept.
 KEPT_LENGTH = 48
+#: Text bytes of a batch: more of them repeat more pieces.
+BATCH_BYTES = 8 << 20
+#: Words that the BPE model gets at once.
+WORDS_AT_ONCE = 500
+#: A word between two others; no word of letters holds its id.
+BETWEEN = "\n!\n"
 
 ODD_SPACES = re.compile("[  -     　]")
 NARROW_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 SINGLE_SPACE = re.compile(r"(?<=\S)(?= \S)")
-WORD = re.compile(r"( ?)([^\W\d_]+)([.,]?)")
+# both vocabularies part letters from other signs; an apostrophe can begin a short form
+WORD = re.compile(r"( ?)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+# texts that ``leading_space_pieces`` does not cut at every space and line break
+ODD = "  |\n\n|\n | \n|\\A | \\z|[" + NARROW_SPACES + ODD_SPACES.pattern[1:]
 
 
 def leading_space_pieces(text: str) -> list[str]:
@@ -85,31 +100,32 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.model = self.library.model
+        # the same model for words that are already in the vocabulary's letters
+        self.words = Tokenizer(self.library.model)
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        (self.mark,) = self.words.encode("!", add_special_tokens=False).ids
         self.code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
+        self.width = array(self.code).itemsize
         self.lower = '"invert":true' in self.library.to_str().replace(" ", "")
         self.pieces = plain_pieces if self.lower else leading_space_pieces
         self.letters = byte_letters()
-        self.ends = {c: self.whole([c])[0] if c else b"" for c in ("", ".", ",")}
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, x.ids).tobytes() for x in found]
 
-    def word(self, piece: str) -> bytes | None:
-        """Ids of a plain word with or without a stop or comma; None for anything else."""
+    def word(self, piece: str) -> tuple[str, str] | None:
+        """A plain word in the vocabulary's letters and the stops after it; None for anything else."""
         m = WORD.fullmatch(piece)
         if m is None:
             return None
         space, core, end = m.groups()
-        if end and (ids := self.known.get(space + core) or self.older.get(space + core)):
-            return ids + self.ends[end]
         if not core.isascii():
             if max(core) > "ɏ":
                 return None
@@ -121,38 +137,95 @@ class Encoder:
             if not core.isalpha():
                 return None
             core = core.encode().decode("latin-1").translate(self.letters)
-        if space and not self.lower:
-            core = self.letters[32] + core
-        ids = array(self.code, [t.id for t in self.model.tokenize(core)]).tobytes()
-        return ids + self.ends[end]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        known, older, split, found = self.known, self.older, [self.pieces(t) for t in texts], []
-        missing: set[str] = set()
-        for pieces in split:
-            ids = list(map(known.get, pieces))
-            if None in ids:
-                missing.update([p for p, x in zip(pieces, ids) if x is None])
-            found.append(ids)
-        rest, new = [], {}
-        for piece in missing:
+        return (self.letters[32] + core if space and not self.lower else core), end
+
+    def model_ids(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words in the vocabulary's letters, from the BPE model."""
+        out = {}
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = words[at : at + WORDS_AT_ONCE]
+            (found,) = self.words.encode_batch_fast([BETWEEN.join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, f"<u{self.width}")
+            marks = np.flatnonzero(ids == self.mark)
+            raw = np.delete(ids, marks).tobytes()
+            ends = [*(self.width * (marks - np.arange(len(marks)))).tolist(), len(raw)]
+            out.update((w, raw[a:b]) for w, a, b in zip(some, [0, *ends], ends))
+        return out
+
+    def new_ids(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of different pieces that the newer generation lacks."""
+        known, older, new, rest, plain = self.known, self.older, {}, [], []
+        for piece in pieces:
             ids = older.get(piece)
-            if ids is None:
-                ids = self.word(piece)
-            if ids is None:
+            if ids is not None:
+                new[piece] = ids
+            elif (found := self.word(piece)) is None:
                 rest.append(piece)
             else:
-                new[piece] = ids
+                plain.append((piece, *found))
+        stops = list({end for _, _, end in plain if end not in known})
         new.update(zip(rest, self.whole(rest)))
-        out = []
-        for pieces, ids in zip(split, found):
-            if None in ids:
-                ids = [new[p] if x is None else x for p, x in zip(pieces, ids)]
-            out.append(b"".join(ids))
-        if len(known) > KEPT_PIECES:
-            self.older, self.known = known, {}
+        ends = dict(zip(stops, self.whole(stops)))
+        unknown = {}
+        for piece, letters, end in plain:
+            stem = piece[: -len(end)] if end else piece
+            ids = (known.get(stem) or older.get(stem)) if end else None
+            if ids is None:
+                unknown[piece] = letters
+            else:
+                new[piece] = ids + (ends[end] if end in ends else known[end])
+        words = self.model_ids(list(dict.fromkeys(unknown.values())))
+        for piece, letters, end in plain:
+            if piece in unknown:
+                new[piece] = words[letters] + (ends[end] if end in ends else known[end])
+        return new | ends
+
+    def cut(self, texts: pa.Array) -> pa.ListArray:
+        """The pieces of every text."""
+        if self.lower:
+            return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        odd = pc.match_substring_regex(texts, ODD)
+        apart = pc.replace_substring(texts, "\n", "\0\n\0")
+        apart = pc.replace_substring(apart, " ", "\0 ")
+        if pc.any(odd).as_py():
+            own = ["\0".join(self.pieces(t)) for t in texts.filter(odd).to_pylist()]
+            apart = pc.replace_with_mask(apart, odd, pa.array(own, apart.type))
+        return pc.split_pattern(apart, "\0")
+
+    def encode(self, texts: Sequence[str] | pa.Array) -> list[bytes]:
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        # the mark between pieces must not stand in a text
+        marked = np.flatnonzero(pc.match_substring(texts, "\0").to_numpy(zero_copy_only=False))
+        if len(marked) and not self.lower:
+            apart = self.whole(texts.take(pa.array(marked)).to_pylist())
+            mask = np.zeros(len(texts), bool)
+            mask[marked] = True
+            out = self.encode(pc.if_else(pa.array(mask), pa.scalar("", texts.type), texts))
+            for i, ids in zip(marked.tolist(), apart):
+                out[i] = ids
+            return out
+        cut = self.cut(texts)
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, pieces))
+        new = self.new_ids([p for p, x in zip(pieces, ids) if x is None])
+        ids = [new[p] if x is None else x for p, x in zip(pieces, ids)]
+        if len(self.known) > KEPT_PIECES:
+            self.older, self.known = self.known, {"": b""}
         self.known.update((k, v) for k, v in new.items() if len(k) <= KEPT_LENGTH)
-        return out
+
+        # every piece of the batch takes its ids from those of the different ones
+        flat = np.frombuffer(b"".join(ids), f"<u{self.width}")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
+        first = np.cumsum(size) - size
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        count = size[which]
+        upto = np.concatenate([[0], np.cumsum(count)])
+        raw = flat[np.repeat(first[which] - upto[:-1], count) + np.arange(upto[-1])].tobytes()
+        ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))
+        ends = (upto[ends] * self.width).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def process_state(name: str) -> dict:
