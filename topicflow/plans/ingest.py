@@ -236,7 +236,10 @@ def _publish(
     write_dead_letters(dead.dropDuplicates([*KEYS, "offset"]), f"{path}/dead_letters/batch={batch}", "overwrite")
 
     valid = [(v, version) for v, _, version in split]
-    cut = materialise(_cut(valid, options, opened, len(versions) > 1))
+    # without rules every topic-partition has a single segment, and the parts tell it
+    ruled = any((options.max_records, options.max_bytes, options.idle)) or len(versions) > 1
+    cut = _cut(valid, options, opened, len(versions) > 1)
+    cut = materialise(cut) if ruled else cut
     parts = _parts(cut)
     if not keep_open and not flush:
         closed = close_manifest(parts, options.max_records, options.max_bytes, options.idle)
@@ -250,7 +253,7 @@ def _publish(
     tables = {} if last is None else dict(last.tables)
     delete_folder(spark, data)
     for rows, version in valid:
-        out = explode_rows(_placed(rows, cut, parts), options)
+        out = explode_rows(_placed(rows, cut, parts) if ruled else _placed_whole(rows, parts), options)
         record = T.StructType([f for f in out.schema[VALUE].dataType if f.name != NOTHING])
         written[version] = merge_schemas(written[version], record)
         _check_order(options, written[version])
@@ -415,6 +418,15 @@ def _placed(rows: DataFrame, cut: DataFrame, parts: DataFrame) -> DataFrame:
     return kept.select(*names, "segment").drop(ROW)
 
 
+def _placed_whole(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """As ``_placed`` where a topic-partition has one segment in the batch."""
+    copies = Window.partitionBy(*KEYS, BLOCK, "offset").orderBy(ROW)
+    placed = rows.join(F.broadcast(parts.select(*KEYS, "segment")), KEYS)
+    placed = placed.withColumn(BLOCK, block_of("offset", BLOCK_BITS))
+    kept = placed.withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1")
+    return kept.select(*[c for c in rows.columns if c != ROW], "segment")
+
+
 def _state(parts: DataFrame, opened: DataFrame | None, keep_open: bool) -> DataFrame:
     """Last segment per topic-partition: where the next batch goes on."""
     version = F.col("schema").cast("string").alias("last_schema")

@@ -55,6 +55,9 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Row groups of staged tables, so that a file larger than its share is read by several tasks.
+STAGED_GROUP_BYTES = 4 << 20
+
 _staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
@@ -96,5 +99,5 @@ def materialise(df: DataFrame) -> DataFrame:
     folders = _staged.get()
     if folders is not None:
         folders.append(path)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", STAGED_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
