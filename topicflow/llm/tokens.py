@@ -2,11 +2,13 @@
 
 Both vocabularies split a text at spaces before they merge anything, so the ids
 of a text are the ids of its pieces, one after the other.  Pieces repeat, within a batch
-and beyond.  Arrow cuts a batch of texts and finds its different pieces, and each
-process keeps the ids of those it has met lately, in two generations: when the
-newer one is full it becomes the older, which alone is forgotten, and what is met again
-moves to the newer.  Plain words go to the library's BPE model itself, many at a time,
-anything else through its whole pipeline.
+and beyond.  Arrow cuts a batch of texts, finds its different pieces and leaves the stops
+off plain words.  Each process keeps the ids of words, stops and other pieces it has met
+lately, in two generations: when the newer one is full it becomes the older, which alone
+is forgotten, and what is met again moves to the newer.  They are kept as Arrow strings
+and one array of ids, since workers live on and hold them beside the work of later tasks.
+New plain words go to the library's BPE model itself, many at a time, anything else
+through its whole pipeline.
 
 The library is told that strings of special tokens in a text are ordinary text, as the
 vocabularies' own description does; a plain call would give them the special id.  A lone
@@ -43,6 +45,11 @@ NARROW_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 SINGLE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 # both vocabularies part letters from other signs; an apostrophe can begin a short form
 WORD = re.compile(r"( ?)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+STOPS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+# what ``Encoder.word`` may know, and stops after it; letters up to U+024F
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+LATIN_WORD = rf"\A ?[{LATIN}]+[!-&(-/:-@\[-`{{-~]*\z"
+LATIN_LETTERS = " " + "".join(c for c in map(chr, range(0x250)) if re.match(f"[{LATIN}]", c))
 # texts that ``leading_space_pieces`` does not cut at every space and line break
 ODD = "  |\n\n|\n | \n|\\A | \\z|[" + NARROW_SPACES + ODD_SPACES.pattern[1:]
 
@@ -95,6 +102,44 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray, which: np.ndarray):
+    """(ids, sizes) of the chosen runs of ``flat``, one after the other."""
+    count = size[which]
+    upto = np.cumsum(count)
+    at = np.repeat(first[which] - (upto - count), count)
+    return flat[at + np.arange(len(at))], count
+
+
+class Kept:
+    """Different pieces and their ids, in arrays."""
+
+    def __init__(self, dtype: str):
+        self.names = pa.array([""], pa.string())
+        self.flat = np.zeros(0, dtype)
+        self.first = np.zeros(1, np.int64)
+        self.size = np.zeros(1, np.int32)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def __contains__(self, piece: str) -> bool:
+        return bool(pc.any(pc.equal(self.names, piece)).as_py())
+
+    def __or__(self, other: Kept) -> set[str]:
+        return {*self.names.to_pylist(), *other.names.to_pylist()}
+
+    def places(self, pieces: pa.Array) -> np.ndarray:
+        """Where each piece stands, -1 for those that are not here."""
+        found = pc.fill_null(pc.index_in(pieces, value_set=self.names), -1)
+        return found.to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def add(self, names: pa.Array, flat: np.ndarray, size: np.ndarray) -> None:
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
+        self.names = pa.concat_arrays([self.names, names])
+        self.flat = np.concatenate([self.flat, flat])
+        self.size = np.concatenate([self.size, size.astype(np.int32)])
+
+
 class Encoder:
     """Texts to little-endian ids, two bytes each, or four in a large vocabulary."""
 
@@ -113,8 +158,8 @@ class Encoder:
         self.lower = '"invert":true' in self.library.to_str().replace(" ", "")
         self.pieces = plain_pieces if self.lower else leading_space_pieces
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        self.dtype = f"<u{self.width}"
+        self.known, self.older = Kept(self.dtype), Kept(self.dtype)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -139,46 +184,70 @@ class Encoder:
             core = core.encode().decode("latin-1").translate(self.letters)
         return (self.letters[32] + core if space and not self.lower else core), end
 
-    def model_ids(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words in the vocabulary's letters, from the BPE model."""
-        out = {}
+    def model_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of words in the vocabulary's letters, from the BPE model."""
+        flat, sizes = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
         for at in range(0, len(words), WORDS_AT_ONCE):
             some = words[at : at + WORDS_AT_ONCE]
             (found,) = self.words.encode_batch_fast([BETWEEN.join(some)], add_special_tokens=False)
-            ids = np.array(found.ids, f"<u{self.width}")
-            marks = np.flatnonzero(ids == self.mark)
-            raw = np.delete(ids, marks).tobytes()
-            ends = [*(self.width * (marks - np.arange(len(marks)))).tolist(), len(raw)]
-            out.update((w, raw[a:b]) for w, a, b in zip(some, [0, *ends], ends))
-        return out
+            ids = np.array(found.ids, self.dtype)
+            marks = ids == self.mark
+            flat.append(ids[~marks])
+            sizes.append(np.diff(np.flatnonzero(marks), prepend=-1, append=len(ids)) - 1)
+        return np.concatenate(flat), np.concatenate(sizes)
 
-    def new_ids(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of different pieces that the newer generation lacks."""
-        known, older, new, rest, plain = self.known, self.older, {}, [], []
-        for piece in pieces:
-            ids = older.get(piece)
-            if ids is not None:
-                new[piece] = ids
-            elif (found := self.word(piece)) is None:
-                rest.append(piece)
+    def new_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of different words, stops and other pieces that no generation has."""
+        rest, words = [], {}
+        which = np.zeros(len(pieces), np.int64)
+        for i, found in enumerate(map(self.word, pieces)):
+            if found is None or found[1]:
+                which[i] = -1 - len(rest)
+                rest.append(pieces[i])
             else:
-                plain.append((piece, *found))
-        stops = list({end for _, _, end in plain if end not in known})
-        new.update(zip(rest, self.whole(rest)))
-        ends = dict(zip(stops, self.whole(stops)))
-        unknown = {}
-        for piece, letters, end in plain:
-            stem = piece[: -len(end)] if end else piece
-            ids = (known.get(stem) or older.get(stem)) if end else None
-            if ids is None:
-                unknown[piece] = letters
-            else:
-                new[piece] = ids + (ends[end] if end in ends else known[end])
-        words = self.model_ids(list(dict.fromkeys(unknown.values())))
-        for piece, letters, end in plain:
-            if piece in unknown:
-                new[piece] = words[letters] + (ends[end] if end in ends else known[end])
-        return new | ends
+                which[i] = words.setdefault(found[0], len(words))
+        flat, size = self.model_ids(list(words))
+        others = self.whole(rest) if rest else []
+        which = np.where(which < 0, len(words) - 1 - which, which)
+        flat = np.concatenate([flat, np.frombuffer(b"".join(others), self.dtype)])
+        size = np.concatenate([size, np.fromiter(map(len, others), np.int64, len(others)) // self.width])
+        return gathered(flat, np.cumsum(size) - size, size, which)
+
+    def parts(self, pieces: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Different words, stops and other pieces, and which two of them each piece is made of."""
+        word = pc.match_substring_regex(pieces, LATIN_WORD)
+        stem = pc.if_else(word, pc.ascii_rtrim(pieces, characters=STOPS), pieces)
+        shorter = pc.less(pc.binary_length(stem), pc.binary_length(pieces))
+        ends = pc.utf8_ltrim(pieces.filter(shorter), characters=LATIN_LETTERS)
+        coded = pa.concat_arrays([stem, ends, pa.array([""], pa.string())]).dictionary_encode()
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        end = np.full(len(pieces), at[-1])
+        end[shorter.to_numpy(zero_copy_only=False)] = at[len(pieces) : -1]
+        return coded.dictionary, at[: len(pieces)], end
+
+    def ids_of(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of different words, stops and other pieces, which are kept."""
+        known, older = self.known, self.older
+        place = known.places(pieces)
+        lost = np.flatnonzero(place < 0)
+        lacking = pieces.take(pa.array(lost))
+        before = older.places(lacking)
+        again, unmet = before >= 0, before < 0
+        flat, size = self.new_ids(lacking.filter(pa.array(unmet)).to_pylist())
+        place[lost[again]] = len(known) + before[again]
+        place[lost[unmet]] = len(known) + len(older) + np.arange(len(size))
+        runs = [(x.flat, x.first, x.size) for x in (known, older)] + [(flat, np.cumsum(size) - size, size)]
+        begin = np.cumsum([0] + [len(x[0]) for x in runs])
+        flat, first, size = (
+            np.concatenate(x)
+            for x in ([r[0] for r in runs], [r[1] + b for r, b in zip(runs, begin)], [r[2] for r in runs])
+        )
+        if len(known) > KEPT_PIECES:
+            self.older, self.known = known, Kept(self.dtype)
+        short = pc.less_equal(pc.utf8_length(lacking), KEPT_LENGTH)
+        kept = lost[short.to_numpy(zero_copy_only=False)]
+        self.known.add(pieces.take(pa.array(kept)), *gathered(flat, first, size, place[kept]))
+        return gathered(flat, first, size, place)
 
     def cut(self, texts: pa.Array) -> pa.ListArray:
         """The pieces of every text."""
@@ -207,22 +276,14 @@ class Encoder:
             return out
         cut = self.cut(texts)
         coded = cut.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        ids = list(map(self.known.get, pieces))
-        new = self.new_ids([p for p, x in zip(pieces, ids) if x is None])
-        ids = [new[p] if x is None else x for p, x in zip(pieces, ids)]
-        if len(self.known) > KEPT_PIECES:
-            self.older, self.known = self.known, {"": b""}
-        self.known.update((k, v) for k, v in new.items() if len(k) <= KEPT_LENGTH)
-
-        # every piece of the batch takes its ids from those of the different ones
-        flat = np.frombuffer(b"".join(ids), f"<u{self.width}")
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
-        first = np.cumsum(size) - size
+        parts, stem, end = self.parts(coded.dictionary.cast(pa.string()))
+        flat, size = self.ids_of(parts)
+        flat, two = gathered(flat, np.cumsum(size) - size, size, np.stack([stem, end], 1).ravel())
+        size = two.reshape(-1, 2).sum(1)
+        # every place takes its ids from those of the different pieces
         which = coded.indices.to_numpy(zero_copy_only=False)
-        count = size[which]
-        upto = np.concatenate([[0], np.cumsum(count)])
-        raw = flat[np.repeat(first[which] - upto[:-1], count) + np.arange(upto[-1])].tobytes()
+        flat, count = gathered(flat, np.cumsum(size) - size, size, which)
+        raw, upto = flat.tobytes(), np.concatenate([[0], np.cumsum(count)])
         ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))
         ends = (upto[ends] * self.width).tolist()
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
