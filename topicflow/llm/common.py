@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -83,6 +84,14 @@ def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     )
 
 
+def give_back() -> None:
+    """Return memory that the allocators keep; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def prefix_totals(rows: DataFrame, key: str, size: str) -> DataFrame:
     """(key, base): sum of sizes under all smaller keys, for keys that count files or tasks.
 

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicflow.llm.common import batch_of, documents, prefix_totals, slices, stage
+from topicflow.llm.common import batch_of, documents, give_back, prefix_totals, slices, stage
 from topicflow.llm.tokens import BATCH_BYTES, encoder, id_type
 
 LOCAL = pa.schema(
@@ -63,6 +63,8 @@ def tokenize(path: str, end_id: int):
             before = place + np.concatenate([[0], np.cumsum(sizes)[:-1]])
             place += int(sizes.sum())
             yield batch_of(LOCAL, [task] * len(ids), batch.column("doc_id"), before, sizes, ids)
+            del ids
+            give_back()
 
     return run
 

@@ -24,7 +24,6 @@ columns are left out; an empty table gives no rows.
 
 from __future__ import annotations
 
-import ctypes
 import math
 import re
 from collections import defaultdict
@@ -38,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicflow.llm.common import batch_of, slices, stage
+from topicflow.llm.common import batch_of, give_back, slices, stage
 
 #: Share of the rows that is in the sample.
 SAMPLE = 1 / 16
@@ -217,14 +216,6 @@ def counted(docs: DataFrame, longest: int, now: Filter | None, done: Filter | No
     return found.select(lang.alias("lang"), phrase.alias("phrase"), size.cast("int").alias("words"), "n")
 
 
-def give_back() -> None:
-    """Return memory that the allocators keep; workers live on between tasks."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def bit_words(phrases: DataFrame, power: int) -> DataFrame:
     """(word, bits): the 64-bit words of a filter that are not zero, made on the executors."""
     schema = pa.schema([("word", pa.int64()), ("bits", pa.int64())])

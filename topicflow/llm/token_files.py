@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.llm.common import batch_of, documents, new_folder, prefix_totals, slices, stage
+from topicflow.llm.common import batch_of, documents, give_back, new_folder, prefix_totals, slices, stage
 from topicflow.llm.tokens import BATCH_BYTES, encoder, id_type
 
 SCALE = 20
@@ -171,6 +171,8 @@ def place_documents(path: str, end_id: int, bounds: list[int]):
             file = np.searchsorted(np.array(bounds, np.int64), known, "left") if bounds else known * 0
             file = [0 if x is None else int(f) for x, f in zip(doc_ids, file)]
             yield batch_of(PLACED, file, doc_ids, ids)
+            del ids
+            give_back()
 
     return run
 
