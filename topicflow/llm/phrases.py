@@ -9,6 +9,11 @@ follows the border as far as it can reach and closes it: each phrase of frequent
 then counted.  A phrase is counted whole in the one pass where it first belongs, so all
 counts are exact, and since no phrase is more frequent than its parts, none is missed.
 
+Most border phrases are rare, and counting each by its words would move more than the
+texts.  Before the full pass every phrase it would count is therefore added up by a bucket of
+its hash, as Park, Chen and Yu do; a phrase is no more frequent than its bucket, so the
+full pass counts those of buckets that reach the threshold, and no other can be frequent.
+
 Tasks know the proposal through a filter of hash bits, whose size follows the number of
 proposed phrases up to a bound.  A false hit only makes a pass count a phrase in vain, so
 the filter may fill up without changing the result.  Counts are kept by the words
@@ -27,7 +32,7 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -48,6 +53,8 @@ BATCH_ROWS = 500
 #: Bits of the filter per proposed phrase, and the bounds of their number as powers of two.
 BITS_PER_PHRASE = 16
 FEWEST_BITS, MOST_BITS = 16, 28
+#: Ranges of buckets that are added up by themselves, as a power of two.
+RANGES = 8
 UNKNOWN = "und"
 END = 0xFF  # no byte of UTF-8, stands between pieces
 
@@ -116,32 +123,68 @@ class Filter:
         return found
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Bits of the buckets that reach the threshold."""
+
+    bits: np.ndarray
+    power: int
+
+    @staticmethod
+    def of(hashes: np.ndarray, power: int) -> np.ndarray:
+        return (hashes * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - power)
+
+    def hold(self, hashes: np.ndarray) -> np.ndarray:
+        at = self.of(hashes, self.power)
+        return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 Rows = tuple[list[bytes], np.ndarray]
+#: Hashes (None: needless), counts, and the phrases at given numbers.
+Found = tuple[np.ndarray | None, np.ndarray, Callable[[np.ndarray], list[bytes]]]
 
 
 def count_chunk(
-    words: list[bytes], seen: int, lang: str, longest: int, now: Filter | None, done: Filter | None
+    words: list[bytes],
+    seen: int,
+    lang: str,
+    longest: int,
+    now: Filter | None,
+    done: Filter | None,
+    heavy: Buckets | None = None,
 ) -> Iterator[Rows]:
     """(phrases, counts) of a chunk, those that end in its first ``seen`` words left out.
 
     Without ``now`` only single words are counted; the empty phrase stands for all words.
     With ``done`` phrases whose parts that filter has, and single words, were counted before;
-    all others that are met count as proposed.
+    all others that are met count as proposed.  With ``heavy`` only phrases of such buckets count.
     """
+    for hashes, times, names in phrases_of_chunk(words, seen, lang, longest, now, done):
+        there = times > 0
+        if heavy is not None and hashes is not None:
+            there &= heavy.hold(hashes)
+        there = np.nonzero(there)[0]
+        yield names(there), times[there]
+    if done is None:
+        yield [b""], np.array([len(words) - seen - words[seen:].count(b"\xff")])
+
+
+def phrases_of_chunk(
+    words: list[bytes], seen: int, lang: str, longest: int, now: Filter | None, done: Filter | None
+) -> Iterator[Found]:
+    """What ``count_chunk`` counts, a length at a time."""
     numbers: defaultdict[bytes, int] = defaultdict()
     numbers.default_factory = numbers.__len__
     numbers[b"\xff"]
     ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
     names = list(numbers)
+    word_hash = None if now is None else word_hashes(names, lang)
     if done is None:
         times = np.bincount(ids[seen:], minlength=len(names))
         times[0] = 0
-        there = np.nonzero(times)[0]
-        yield [names[i] for i in there], times[there]
-        yield [b""], np.array([times.sum()])
+        yield word_hash, times, lambda there: [names[i] for i in there]
     if now is None or longest < 2:
         return
-    word_hash = word_hashes(names, lang)
     real = np.arange(len(names)) > 0
     passes = (now.has(word_hash, 1) & real)[ids]
     passed = (done.has(word_hash, 1) & real)[ids] if done is not None else None
@@ -157,12 +200,11 @@ def count_chunk(
         if passed is not None:
             before = passed[at[first]] & passed[at[first] + 1]
             times[before] = 0
-        there = np.nonzero(times)[0]
-        begin = at[first[there]].tolist()
-        yield [b" ".join(words[i : i + length]) for i in begin], times[there]
+        hashes = mixed(hashes[part[at[first]]], word_hash[last[first]])
+        begin = at[first]
+        yield hashes, times, lambda there: [b" ".join(words[i : i + length]) for i in begin[there].tolist()]
         if length == longest:
             return
-        hashes = mixed(hashes[part[at[first]]], word_hash[last[first]])
         size = len(words) - length + 1
         part = np.full(size, -1)
         part[at] = which
@@ -175,39 +217,123 @@ def count_chunk(
         passes[at] = proposed[which]
 
 
-def counted(docs: DataFrame, longest: int, now: Filter | None, done: Filter | None = None) -> DataFrame:
+def held_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
+    """(lang, texts) of about HELD_BYTES at a time."""
+    held: defaultdict[str, list[str]] = defaultdict(list)
+    size = 0
+    for batch in slices(batches):
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            held[lang].append(text)
+        size += batch.nbytes
+        if size >= HELD_BYTES:
+            yield from held.items()
+            held.clear()
+            size = 0
+            give_back()
+    yield from held.items()
+    held.clear()
+    give_back()
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Small numbers as bytes, lowest ones first, compressed."""
+    return pa.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(raw: bytes, count: int) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(raw, 4 * count, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(flat.reshape(4, -1).T).view("<u4")[:, 0].astype(np.int64)
+
+
+def bucket_counts(longest: int, shared, at_least: int, power: int):
+    """Texts to rows (range, count, gaps between buckets, counts of each), a few for every chunk."""
+    schema = pa.schema([("range", pa.int32()), ("size", pa.int32()), ("gaps", pa.binary()), ("counts", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = shared.value
+        for lang, texts in held_texts(batches):
+            for words, seen in chunks(words_of(texts), longest - 1):
+                places, numbers = [], []
+                for hashes, times, _ in phrases_of_chunk(words, seen, lang, longest, now, None):
+                    there = np.nonzero(times)[0]
+                    places.append(Buckets.of(hashes[there], power).astype(np.uint32))
+                    numbers.append(times[there])
+                buckets, which = np.unique(np.concatenate(places), return_inverse=True)
+                # more than the threshold in one place says no more than the threshold
+                counts = np.minimum(np.bincount(which, np.concatenate(numbers)), at_least)
+                edges = np.searchsorted(buckets, np.arange((1 << RANGES) + 1) << (power - RANGES))
+                rows = []
+                for r, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+                    if a < b:
+                        own = buckets[a:b] - np.uint32(r << (power - RANGES))
+                        rows.append((r, b - a, packed(np.diff(own, prepend=own.dtype.type(0))), packed(counts[a:b])))
+                if rows:
+                    yield batch_of(schema, *zip(*rows))
+
+    return run
+
+
+def full_buckets(at_least: int, power: int):
+    """Rows sorted by range to (range, bits)."""
+    schema = pa.schema([("range", pa.int32()), ("bits", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(1 << (power - RANGES), np.int64)
+
+        def close():
+            return batch_of(schema, [now], [np.packbits(total >= at_least, bitorder="little").tobytes()])
+
+        for batch in batches:
+            for r, size, gaps, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if r != now:
+                    if now is not None:
+                        yield close()
+                    now = r
+                    total[:] = 0
+                total[np.cumsum(unpacked(gaps, size))] += unpacked(counts, size)
+        if now is not None:
+            yield close()
+
+    return run
+
+
+def heavy_buckets(docs: DataFrame, longest: int, now: Filter, at_least: int, power: int) -> Buckets:
+    """The buckets whose phrases, as ``counted`` would count them, come to ``at_least``."""
+    spark = docs.sparkSession
+    run = bucket_counts(longest, spark.sparkContext.broadcast(now), at_least, power)
+    rows = docs.mapInArrow(run, "range int, size int, gaps binary, counts binary")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(n, "range").sortWithinPartitions("range")
+    found = rows.mapInArrow(full_buckets(at_least, power), "range int, bits binary").toArrow()
+    bits = np.zeros((1 << RANGES, 1 << (power - RANGES - 3)), np.uint8)
+    for r, raw in zip(*(c.to_pylist() for c in found.columns)):
+        bits[r] = np.frombuffer(raw, np.uint8)
+    return Buckets(bits.ravel(), power)
+
+
+def buckets_for(chars: float, at_least: int) -> int:
+    """So many buckets, as a power of two, that all phrases leave them far below the threshold."""
+    return min(MOST_BITS, max(FEWEST_BITS, math.ceil(math.log2(max(1, 2 * chars / at_least)))))
+
+
+def counted(
+    docs: DataFrame, longest: int, now: Filter | None, done: Filter | None = None, heavy: Buckets | None = None
+) -> DataFrame:
     """(lang, phrase, words, n) over all rows, see ``count_chunk``."""
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((now, done))
+    shared = sc.broadcast((now, done, heavy))
     # one column of phrase, tab and language keeps the rows that are added up small; a phrase has no tab
     schema = pa.schema([("key", pa.string()), ("n", pa.int64())])
 
-    def rows(lang: str, texts: list[str]) -> Iterator[pa.RecordBatch]:
-        now, done = shared.value
-        end = b"\t" + lang.encode()
-        for words, seen in chunks(words_of(texts), longest - 1):
-            for phrases, times in count_chunk(words, seen, lang, longest, now, done):
-                for i in range(0, len(phrases), ROWS):
-                    keys = [p + end for p in phrases[i : i + ROWS]]
-                    yield batch_of(schema, pa.array(keys, pa.binary()).cast(pa.string()), times[i : i + ROWS])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: defaultdict[str, list[str]] = defaultdict(list)
-        size = 0
-        for batch in slices(batches):
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                held[lang].append(text)
-            size += batch.nbytes
-            if size >= HELD_BYTES:
-                for lang, texts in held.items():
-                    yield from rows(lang, texts)
-                held.clear()
-                size = 0
-                give_back()
-        for lang, texts in held.items():
-            yield from rows(lang, texts)
-        held.clear()
-        give_back()
+        now, done, heavy = shared.value
+        for lang, texts in held_texts(batches):
+            end = b"\t" + lang.encode()
+            for words, seen in chunks(words_of(texts), longest - 1):
+                for phrases, times in count_chunk(words, seen, lang, longest, now, done, heavy):
+                    for i in range(0, len(phrases), ROWS):
+                        keys = [p + end for p in phrases[i : i + ROWS]]
+                        yield batch_of(schema, pa.array(keys, pa.binary()).cast(pa.string()), times[i : i + ROWS])
 
     found = docs.mapInArrow(run, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
     phrase = F.substring_index("key", "\t", 1)
@@ -292,7 +418,10 @@ def _frequent(docs: DataFrame, longest: int, at_least: int, lang_col: str, text_
     deeper = counted(chosen, max(1, longest - 1), seeds).filter((F.col("words") > 0) & (F.col("n") >= threshold))
     proposed = stage(deeper.select("lang", "phrase"), "phrases-proposed")
     now = filter_of(proposed, power_for(proposed.count()))
-    found = stage(counted(rows, longest, now).filter(often | (F.col("words") == 0)), "phrases-counted")
+    chars = (chosen.agg(F.sum(F.length("text"))).first()[0] or 0) / max(sample, 1e-9)
+    heavy = heavy_buckets(rows, longest, now, at_least, buckets_for(chars, at_least))
+    found = counted(rows, longest, now, heavy=heavy).filter(often | (F.col("words") == 0))
+    found = stage(found, "phrases-counted")
     failures = found.filter(F.col("words").between(1, longest - 1)).join(proposed, ["lang", "phrase"], "left_anti")
     failures = stage(failures.select("lang", "phrase"), "phrases-failures")
     if failures.isEmpty():
